@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline.sources.warehouse import Warehouse
@@ -36,17 +35,17 @@ def check(name: str, sql: str | None = None):
 def plain_types(df: DataFrame) -> DataFrame:
     """Whole numbers as bigint, other numbers as double, dates as text, for comparison."""
 
-    def plain(field: T.StructField):
-        column = F.col(field.name)
+    def plain(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, T.IntegralType):
-            return column.cast("bigint").alias(field.name)
+            return f"cast({name} as bigint) as {name}"
         if isinstance(field.dataType, T.NumericType):
-            return column.cast("double").alias(field.name)
+            return f"cast({name} as double) as {name}"
         if isinstance(field.dataType, T.DateType):
-            return column.cast("string").alias(field.name)
-        return column
+            return f"cast({name} as string) as {name}"
+        return name
 
-    return df.select(*[plain(f) for f in df.schema])
+    return df.selectExpr(*[plain(f) for f in df.schema])
 
 
 def runner(build: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -272,15 +273,27 @@ def grid_search(
     return Tuned(fitted.bestModel, settings[winner], train.sparkSession.createDataFrame(rows, columns))
 
 
-def out_of_fold(estimator: Estimator, train: DataFrame, label: str = "churned") -> DataFrame:
-    """Each row scored by a model that has not seen its fold."""
-    folds = train.agg(F.max("fold")).first()[0] + 1
-    parts = []
-    for fold in range(folds):
-        model = estimator.fit(train.where(F.col("fold") != fold))
-        held = predict(model, train.where(F.col("fold") == fold))
-        parts.append(held.select("account_id", label, "fold", "churn_proba", "prediction"))
-    return reduce(DataFrame.unionByName, parts)
+def out_of_fold(
+    estimator: Estimator, train: DataFrame, label: str = "churned", parallelism: int = 4
+) -> DataFrame:
+    """Each row scored by a model that has not seen its fold.
+
+    The rows are checkpointed, as every fold reads them for its fit and its scores.
+    The fits are independent jobs and are submitted side by side.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    rows = train.select("account_id", "features", label, "weight", "fold").checkpoint()
+    folds = range(rows.agg(F.max("fold")).first()[0] + 1)
+
+    @inheritable_thread_target
+    def fit(fold: int):
+        return estimator.fit(rows.where(F.col("fold") != fold))
+
+    with ThreadPool(parallelism) as pool:
+        models = pool.map(fit, folds)
+    held = [predict(model, rows.where(F.col("fold") == fold)) for fold, model in zip(folds, models)]
+    columns = ["account_id", label, "fold", "churn_proba", "prediction"]
+    return reduce(DataFrame.unionByName, [part.select(*columns) for part in held])
 
 
 def fold_metrics(held_out: DataFrame, label: str = "churned") -> DataFrame:
@@ -384,13 +397,15 @@ def prepare(
 ) -> Prepared:
     """Split, impute, assemble and scale a feature table.
 
-    The split table is checkpointed, so neither the joins behind the features nor
-    the split run again for each fit. The imputed median comes from the training
-    rows; ``fit_on="all"`` takes it from the whole table.
+    The feature table is checkpointed once, so the joins behind it do not run again
+    for every split, fit and score. The imputed median comes from the training rows;
+    ``fit_on="all"`` takes it from the whole table. Features the imputation rules do
+    not name (no contract dates, an unknown tier) become 0: no account is left out.
     """
     ensure_checkpoint_dir(features.sparkSession)
-    split = stratified_split(features, label).checkpoint()
-    fills = fit_fills(split.where("not is_test") if fit_on == "train" else split)
+    split = stratified_split(features.checkpoint(), label).checkpoint()
+    learnt = fit_fills(split.where("not is_test") if fit_on == "train" else split)
+    fills = {**{name: 0.0 for name in names}, **learnt}
     filled = impute(split, fills)
     train = filled.where("not is_test")
     vectors = fit_vectors(train, names)

@@ -76,6 +76,42 @@ MODEL_COMPARISON = _table(
     cv_roc_auc_std=T.DoubleType(),
 )
 
+# The order warehouse. Declared, so opening a table reads no file footers.
+WAREHOUSE_TABLES = {
+    "region": _table(r_regionkey=T.IntegerType(), r_name=T.StringType()),
+    "nation": _table(
+        n_nationkey=T.IntegerType(), n_name=T.StringType(), n_regionkey=T.IntegerType()
+    ),
+    "customer": _table(
+        c_custkey=T.LongType(),
+        c_name=T.StringType(),
+        c_nationkey=T.IntegerType(),
+        c_acctbal=T.DoubleType(),
+        c_mktsegment=T.StringType(),
+    ),
+    "orders": _table(
+        o_orderkey=T.LongType(),
+        o_custkey=T.LongType(),
+        o_orderstatus=T.StringType(),
+        o_totalprice=T.DoubleType(),
+        o_orderdate=T.TimestampNTZType(),
+        o_orderpriority=T.StringType(),
+    ),
+    "lineitem": _table(
+        l_orderkey=T.LongType(),
+        l_partkey=T.LongType(),
+        l_suppkey=T.LongType(),
+        l_linenumber=T.IntegerType(),
+        l_quantity=T.DoubleType(),
+        l_extendedprice=T.DoubleType(),
+        l_discount=T.DoubleType(),
+        l_tax=T.DoubleType(),
+        l_returnflag=T.StringType(),
+        l_linestatus=T.StringType(),
+        l_shipdate=T.TimestampNTZType(),
+    ),
+}
+
 RAW_TABLES = {
     "accounts": ACCOUNTS,
     "usage_metrics": USAGE_METRICS,

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.scalars import numpy_round, ratio
+from stayline.sources.schemas import WAREHOUSE_TABLES
+from stayline.sources.tables import read_table
 
 SNAPSHOT = dt.date(2000, 7, 31)
 LABEL_DAYS = 365
@@ -34,9 +36,14 @@ class Warehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = read_table(
+                self.spark, f"{self.folder}/{name}.parquet", WAREHOUSE_TABLES[name], "parquet"
+            )
+        return self._opened[name]
 
     @cached_property
     def account_base(self) -> DataFrame:
@@ -106,8 +113,12 @@ class Warehouse:
         )
 
     def _lines(self) -> DataFrame:
-        return self.table("lineitem").join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+        """Lines with their order. Both sides grow with the data, so neither is to be
+        broadcast; a sort-merge join also lets the adaptive planner split hot keys."""
+        return (
+            self.table("lineitem")
+            .hint("merge")
+            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         )
 
     @cached_property
