@@ -33,7 +33,7 @@ def _(w):
     rows = rival_figures(w).drop("position")
     existing = rows.where("model in ('alpha', 'beta')")
     third = rows.where("model = 'gamma'")
-    existing = upsert(existing, third.withColumn("model", F.lit("beta")), "model")
+    existing = upsert(existing, third.withColumn("model", F.regexp_replace("model", "gamma", "beta")), "model")
     return upsert(existing, third, "model")
 
 

@@ -285,7 +285,7 @@ def out_of_fold(
     rows = train.select("account_id", "features", label, "weight", "fold").checkpoint()
     folds = range(rows.agg(F.max("fold")).first()[0] + 1)
 
-    @inheritable_thread_target
+    @inheritable_thread_target(rows.sparkSession)
     def fit(fold: int):
         return estimator.fit(rows.where(F.col("fold") != fold))
 
