@@ -15,6 +15,7 @@ from stayline.operators.shapes import best_row, upsert
 from stayline.plans import evaluation as E
 from stayline.plans import modeling as M
 from stayline.plans import scoring
+from stayline.session import ensure_checkpoint_dir
 from stayline.sources.schemas import feature_names
 from stayline.sources.warehouse import REGIONS
 
@@ -64,8 +65,10 @@ def _(w):
     ),
 )
 def _(w):
-    train = M.stratified_split(w.labels).where("not is_test").drop("is_test")
-    return M.stratified_folds(train)
+    # The split is fixed once; the folds read it twice.
+    ensure_checkpoint_dir(w.spark)
+    split = M.stratified_split(w.labels).checkpoint()
+    return M.stratified_folds(split.where("not is_test").drop("is_test"))
 
 
 _SCALED = ("tenure_days", "avg_monthly_logins", "nps_response_count")
@@ -84,7 +87,8 @@ _SCALED = ("tenure_days", "avg_monthly_logins", "nps_response_count")
     ),
 )
 def _(w):
-    table = feature_table(w).select("account_id", "churned", *_SCALED).na.fill(0, list(_SCALED))
+    ensure_checkpoint_dir(w.spark)
+    table = feature_table(w).select("account_id", "churned", *_SCALED).na.fill(0, list(_SCALED)).checkpoint()
     train = M.stratified_split(table).where("not is_test")
     scaled = M.standardize(table, M.scaling_figures(train, _SCALED), _SCALED)
     return scaled.select("account_id", *[S.numpy_round(F.col(c), 6).alias(c) for c in _SCALED])

@@ -9,7 +9,7 @@ from stayline.functions.scalars import numpy_round
 from stayline.plans import features as P
 from stayline.plans.evaluation import model_metrics
 from stayline.plans.scoring import score_table
-from stayline.sources.warehouse import NPS_TIEBREAK, REGIONS, SNAPSHOT, Warehouse
+from stayline.sources.warehouse import REGIONS, SNAPSHOT, Warehouse
 
 RIVALS = {"alpha": 7919, "beta": 6271, "gamma": 4523}
 
@@ -52,8 +52,8 @@ def rival_figures(w: Warehouse) -> DataFrame:
 
 
 def feature_table(w: Warehouse) -> DataFrame:
-    return P.build_features(w.accounts, w.usage, w.tickets, w.nps, SNAPSHOT, REGIONS, NPS_TIEBREAK)
+    return P.build_features(w.accounts, w.usage, w.tickets, w.nps, SNAPSHOT, REGIONS)
 
 
 def survey_features(w: Warehouse) -> DataFrame:
-    return P.nps_features(w.nps, SNAPSHOT, NPS_TIEBREAK)
+    return P.nps_features(w.nps, SNAPSHOT)

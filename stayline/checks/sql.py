@@ -108,8 +108,7 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """SELECT o_custkey AS account_id, CAST(l_shipdate AS DATE) AS survey_date,
         'Q' || quarter(l_shipdate) || '_' || year(l_shipdate) AS quarter,
-        CAST(round_even(l_discount * 100, 0) AS BIGINT) AS nps_score,
-        l_orderkey AS line_order, l_partkey AS line_part, l_suppkey AS line_supplier
+        CAST(round_even(l_discount * 100, 0) AS BIGINT) AS nps_score
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE l_linenumber = 1 AND l_returnflag = 'R'""",
     ),
@@ -170,10 +169,9 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "nps_seen": (("nps",), f"SELECT * FROM nps WHERE survey_date <= {TODAY}"),
     "nps_numbered": (
         ("nps_seen",),
-        """SELECT *, row_number() OVER (PARTITION BY account_id
-                ORDER BY survey_date, line_order, line_part, line_supplier, nps_score) AS up,
-        row_number() OVER (PARTITION BY account_id ORDER BY survey_date DESC, line_order DESC,
-                line_part DESC, line_supplier DESC, nps_score DESC) AS down FROM nps_seen""",
+        """SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY survey_date, nps_score) AS up,
+        row_number() OVER (PARTITION BY account_id ORDER BY survey_date DESC, nps_score DESC) AS down
+        FROM nps_seen""",
     ),
     "nps_feats": (
         ("nps_numbered",),

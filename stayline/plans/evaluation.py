@@ -101,24 +101,32 @@ def _pairs_won(tp: Column, pos: Column, neg: Column) -> Column:
     return neg.cast(_WIDE) * (2 * (tp - pos) + pos).cast(_WIDE)
 
 
-def ranking_quality(
-    scores: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()
-) -> DataFrame:
-    """ROC-AUC by pair counting and average precision as the step sum, in one pass."""
-    curve = cumulative_counts(scores, label, score, by)
+def _sums(curve: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
+    """What ranking figures are made of, per group."""
     steps = F.col("pos").cast("double") * ratio(F.col("tp"), F.col("tp") + F.col("fp"))
-    sums = curve.groupBy(*by).agg(
+    return curve.groupBy(*by).agg(
         F.sum(_pairs_won(F.col("tp"), F.col("pos"), F.col("neg"))).alias("won"),
         F.sum(steps).alias("steps"),
         F.max("tp").alias("n_pos"),
         F.max("fp").alias("n_neg"),
+        *more,
     )
+
+
+def _ranking_figures() -> list[Column]:
     pairs = 2 * F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
-    return sums.select(
-        *by,
+    return [
         ratio(F.col("won"), pairs).alias("roc_auc"),
         ratio(F.col("steps"), F.col("n_pos")).alias("average_precision"),
-    )
+    ]
+
+
+def ranking_quality(
+    scores: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()
+) -> DataFrame:
+    """ROC-AUC by pair counting and average precision as the step sum, in one pass."""
+    sums = _sums(cumulative_counts(scores, label, score, by), by)
+    return sums.select(*by, *_ranking_figures())
 
 
 def roc_auc(scores, label="label", score="score", by=()) -> DataFrame:
@@ -225,12 +233,22 @@ def model_metrics(
     cut: float = 0.5,
     strictly_above: bool = False,
 ) -> DataFrame:
-    """One row per group: roc_auc, average_precision, f1, precision, recall."""
-    ranking = ranking_quality(scores, label, score, by)
-    cutting = positive_scores(confusion(scores, label, score, by, cut, strictly_above), by)
-    if by:
-        return ranking.join(cutting, list(by))
-    return attach(ranking, cutting, by)
+    """One row per group: roc_auc, average_precision, f1, precision, recall.
+
+    The counts at the cut are read off the cumulative counts, so the scores are read
+    once for all figures.
+    """
+    flagged = F.col("threshold") > cut if strictly_above else F.col("threshold") >= cut
+
+    def at_cut(name: str) -> Column:
+        return F.coalesce(F.max(F.when(flagged, F.col(name))), F.lit(0))
+
+    curve = cumulative_counts(scores, label, score, by)
+    sums = _sums(curve, by, at_cut("tp").alias("hit"), (at_cut("tp") + at_cut("fp")).alias("called"))
+    cutting = _class_scores(F.col("hit"), F.col("called"), F.col("n_pos"))
+    return sums.select(
+        *by, *_ranking_figures(), *[cutting[m].alias(m) for m in ("f1", "precision", "recall")]
+    )
 
 
 def majority_baseline(df: DataFrame, label: str = "label") -> DataFrame:

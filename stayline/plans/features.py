@@ -175,21 +175,23 @@ def ticket_features(tickets: DataFrame, snapshot: dt.date, recent_days: int = 90
     )
 
 
-def nps_features(nps: DataFrame, snapshot: dt.date, tiebreak: Sequence[str] = ()) -> DataFrame:
+def nps_features(nps: DataFrame, snapshot: dt.date) -> DataFrame:
     """Latest score, change from the first to the latest answer, mean and count.
 
-    ``max_by`` and ``min_by`` keep one answer per account and task, so no account's
-    answers have to be sorted in one place.
+    Answers are ordered by date and, within a day, by score, which leaves no tie that
+    could change a result. The order is one whole number (scores go from 0 to 10), so
+    ``max_by`` and ``min_by`` run as hash aggregates: one answer per account and task,
+    and no account's answers have to be sorted.
     """
-    when = F.struct("survey_date", *tiebreak, "nps_score")
     score = F.col("nps_score")
+    place = F.unix_date("survey_date").cast("bigint") * 100 + F.coalesce(score, F.lit(-1))
     answers = F.count(F.lit(1))
-    change = F.max_by(score, when) - F.min_by(score, when)
+    change = F.max_by(score, place) - F.min_by(score, place)
     return (
         nps.where(F.col("survey_date") <= F.lit(snapshot))
         .groupBy("account_id")
         .agg(
-            F.max_by(score, F.when(score.isNotNull(), when)).alias("last_nps_score"),
+            F.max_by(score, F.when(score.isNotNull(), place)).alias("last_nps_score"),
             F.when(answers < 2, F.lit(0)).otherwise(change).cast("double").alias("nps_trend"),
             numpy_round(mean_of(score), 2).alias("avg_nps_score"),
             answers.alias("nps_response_count"),
@@ -250,7 +252,6 @@ def build_features(
     nps: DataFrame,
     snapshot: dt.date,
     regions: Sequence[str] = REGIONS,
-    nps_tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """One row per account: id, features in fixed order, label.
 
@@ -262,7 +263,7 @@ def build_features(
         account_features(accounts, snapshot, regions)
         .join(usage_features(usage, snapshot), "account_id", "left")
         .join(support, "account_id", "left")
-        .join(nps_features(nps, snapshot, nps_tiebreak), "account_id", "left")
+        .join(nps_features(nps, snapshot), "account_id", "left")
     )
     filled = fill_nps(fill_tickets(fill_usage(joined))).withColumns(
         {

@@ -49,47 +49,63 @@ def _shuffle_key(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def shuffled_rank(df: DataFrame, label: str, key: str = "account_id", seed: int = SEED) -> DataFrame:
-    """Rank 1..n_class of each row within its class, in an order fixed by a hash of the id.
-
-    One class can hold most of the table, so it is not ranked as one window
-    partition. The leading hex digits of the hash cut every class into equal
-    buckets; a table of bucket sizes gives each bucket its first rank, and rows are
-    ranked inside their bucket.
-    """
-    keyed = df.withColumn("_hash", _shuffle_key(key, seed)).withColumn(
+def _in_buckets(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """Add a hash of the id and the bucket its leading hex digits name."""
+    return df.withColumn("_hash", _shuffle_key(key, seed)).withColumn(
         "_bucket", F.conv(F.substring("_hash", 1, _BUCKET_DIGITS), 16, 10).cast("int")
     )
+
+
+def _bucket_starts(keyed: DataFrame, label: str) -> DataFrame:
+    """Rows of a class before each bucket, and in the class: at most a row per bucket."""
     sizes = keyed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        label, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
+    whole = Window.partitionBy(label)
+    earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(
+        label,
+        "_bucket",
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
+        F.sum("_size").over(whole).alias("n_class"),
     )
+
+
+def _with_class_rank(keyed: DataFrame, starts: DataFrame, label: str, key: str) -> DataFrame:
+    """Rank 1..n_class of each row within its class, in the order of the hash.
+
+    One class can hold most of the table, so it is not ranked as one window
+    partition: the buckets of a class are equally full, rows are ranked inside
+    their bucket, and the rows of earlier buckets are added.
+    """
     inside = Window.partitionBy(label, "_bucket").orderBy("_hash", key)
     return (
         keyed.withColumn("_within", F.row_number().over(inside))
         .join(starts, [label, "_bucket"])
         .withColumn("class_rank", F.col("_start") + F.col("_within"))
-        .drop("_hash", "_bucket", "_within", "_start")
+        .drop("_hash", "_bucket", "_within", "_start", "n_class")
     )
 
 
-def test_quotas(df: DataFrame, label: str, share: float = TEST_SHARE) -> DataFrame:
-    """Test rows per class: the total is rounded up, classes get their share of it,
-    and the rows left over go to the largest remainders (the lower label on a tie)."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    # One row per class.
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
+
+
+def quotas(sizes: DataFrame, label: str, share: float = TEST_SHARE) -> DataFrame:
+    """Test rows per class, from a row per class.
+
+    The total is rounded up, classes get their share of it, and the rows left over go
+    to the largest remainders (the lower label on a tie).
+    """
     everyone = Window.partitionBy()
     exact = F.col("n_class") * F.col("n_test") / F.col("n")
     leftover = Window.orderBy(F.desc("remainder"), F.asc(label))
+    extra = (F.row_number().over(leftover) <= F.col("open")).cast("int")
     return (
         sizes.withColumn("n", F.sum("n_class").over(everyone))
         .withColumn("n_test", F.ceil(F.col("n") * F.lit(share)))
         .withColumn("floor", F.floor(exact))
         .withColumn("remainder", exact - F.col("floor"))
         .withColumn("open", F.col("n_test") - F.sum("floor").over(everyone))
-        .withColumn("quota", F.col("floor") + (F.row_number().over(leftover) <= F.col("open")).cast("int"))
-        .select(label, "n_class", F.col("quota").cast("bigint").alias("quota"))
+        .select(label, "n_class", (F.col("floor") + extra).cast("bigint").alias("quota"))
     )
 
 
@@ -101,11 +117,13 @@ def stratified_split(
     key: str = "account_id",
 ) -> DataFrame:
     """Add ``is_test``: exact class quotas, the same rows on every run."""
+    keyed = _in_buckets(df, key, seed)
+    starts = _bucket_starts(keyed, label)
+    allowed = quotas(starts.select(label, "n_class").distinct(), label, share).drop("n_class")
     # Two quota rows for a 0/1 label.
-    quotas = F.broadcast(test_quotas(df, label, share).select(label, "quota"))
+    limits = starts.join(F.broadcast(allowed), label)
     return (
-        shuffled_rank(df, label, key, seed)
-        .join(quotas, label)
+        _with_class_rank(keyed, limits, label, key)
         .withColumn("is_test", F.col("class_rank") <= F.col("quota"))
         .drop("class_rank", "quota")
     )
@@ -120,12 +138,18 @@ def stratified_folds(
 ) -> DataFrame:
     """Add ``fold`` 0..k-1. Classes are dealt out one after the other, so neither the
     folds nor a class over the folds differ by more than one row."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
+    keyed = _in_buckets(df, key, seed + 1)
+    starts = _bucket_starts(keyed, label)
     earlier = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
-    dealt = sizes.select(label, F.coalesce(F.sum("n_class").over(earlier), F.lit(0)).alias("_dealt"))
+    # One row per class.
+    dealt = (
+        starts.select(label, "n_class")
+        .distinct()
+        .select(label, F.coalesce(F.sum("n_class").over(earlier), F.lit(0)).alias("_dealt"))
+    )
+    limits = starts.join(F.broadcast(dealt), label)
     return (
-        shuffled_rank(df, label, key, seed + 1)
-        .join(F.broadcast(dealt), label)
+        _with_class_rank(keyed, limits, label, key)
         .withColumn("fold", ((F.col("_dealt") + F.col("class_rank") - 1) % k).cast("int"))
         .drop("class_rank", "_dealt")
     )

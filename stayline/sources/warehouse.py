@@ -23,8 +23,6 @@ from stayline.sources.tables import read_table
 SNAPSHOT = dt.date(2000, 7, 31)
 LABEL_DAYS = 365
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-# Orders of surveys that share a date.
-NPS_TIEBREAK = ("line_order", "line_part", "line_supplier")
 
 
 def hundredths(amount: Column) -> Column:
@@ -181,8 +179,5 @@ class Warehouse:
                     F.lit("Q"), F.quarter(shipped).cast("string"), F.lit("_"), F.year(shipped).cast("string")
                 ).alias("quarter"),
                 hundredths(F.col("l_discount")).cast("int").alias("nps_score"),
-                F.col("l_orderkey").alias("line_order"),
-                F.col("l_partkey").alias("line_part"),
-                F.col("l_suppkey").alias("line_supplier"),
             )
         )

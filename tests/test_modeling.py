@@ -45,7 +45,7 @@ def test_split_has_exact_quotas(planted, many_partitions):
 @pytest.mark.parametrize("n0, n1", [(7, 4), (13, 5), (101, 22), (3, 3)])
 def test_quotas_use_largest_remainders(spark, n0, n1):
     df = spark.range(n0 + n1).select(F.col("id").alias("account_id"), (F.col("id") < n1).cast("int").alias("churned"))
-    quotas = {r["churned"]: r["quota"] for r in M.test_quotas(df, "churned").collect()}
+    quotas = {r["churned"]: r["quota"] for r in M.quotas(M.class_sizes(df, "churned"), "churned").collect()}
     assert sum(quotas.values()) == math.ceil((n0 + n1) * 0.2)
     for label, size in ((0, n0), (1, n1)):
         assert abs(quotas[label] - size * math.ceil((n0 + n1) * 0.2) / (n0 + n1)) < 1
