@@ -11,7 +11,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -390,9 +390,16 @@ def fit_vectors(train: DataFrame, columns: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=vector_stages(columns)).fit(train)
 
 
-def bundle(vectors: PipelineModel, model) -> PipelineModel:
-    """Assembler, scaler and classifier as one model to store and score with."""
-    return PipelineModel(stages=[*vectors.stages, model])
+def fill_stage(fills: dict[str, float]) -> SQLTransformer:
+    """The learnt replacement values as a stage that is stored with the model."""
+    filled = ", ".join(f"coalesce(cast({c} as double), {v!r}D) AS {c}" for c, v in fills.items())
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(fills)}), {filled} FROM __THIS__")
+
+
+def bundle(vectors: PipelineModel, model, fills: dict[str, float] | None = None) -> PipelineModel:
+    """Imputation, assembler, scaler and classifier as one model to store and score with."""
+    first = [fill_stage(fills)] if fills else []
+    return PipelineModel(stages=[*first, *vectors.stages, model])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
