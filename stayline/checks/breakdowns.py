@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import evaluated, predictions, rival_figures, scores, survey_features
+from stayline.checks.shared import evaluated, predictions, rival_figures, scores, survey_features, usage_features
 from stayline.checks.sql import LABEL, TODAY, big, dbl, mean, query, rnd
 from stayline.functions import scalars as S
 from stayline.operators.ordering import rank_rows, top_k
@@ -32,7 +32,7 @@ def _(w):
 
 @check("f2_usage_aggregates", query("SELECT * FROM usage_aggs"))
 def _(w):
-    return P.usage_features(w.usage, SNAPSHOT).drop("login_trend_pct", "logins_mom_change")
+    return usage_features(w).drop("login_trend_pct", "logins_mom_change")
 
 
 @check(
@@ -353,12 +353,12 @@ def _(w):
 
 @check("g1_first_last_trend", query("SELECT account_id, months_observed, login_trend_pct FROM usage_feats"))
 def _(w):
-    return P.usage_features(w.usage, SNAPSHOT).select("account_id", "months_observed", "login_trend_pct")
+    return usage_features(w).select("account_id", "months_observed", "login_trend_pct")
 
 
 @check("g2_last_two_change", query("SELECT account_id, logins_mom_change FROM usage_feats"))
 def _(w):
-    return P.usage_features(w.usage, SNAPSHOT).select("account_id", "logins_mom_change")
+    return usage_features(w).select("account_id", "logins_mom_change")
 
 
 @check("g3_last_and_first_value", query("SELECT account_id, last_nps_score, nps_trend FROM nps_feats"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import evaluated, feature_table, predictions, survey_features
+from stayline.checks.shared import evaluated, feature_table, predictions, survey_features, usage_features
 from stayline.checks.sql import LABEL, big, dbl, query, rnd, score_of
 from stayline.functions import scalars as S
 from stayline.operators.quantiles import exact_median
@@ -21,7 +21,7 @@ def _accounts(w):
 
 
 def _usage(w):
-    return P.usage_features(w.usage, SNAPSHOT)
+    return usage_features(w)
 
 
 def _tickets(w):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import evaluated, predictions, rival_figures, scores, survey_features
+from stayline.checks.shared import evaluated, predictions, rival_figures, scores, survey_features, usage_features
 from stayline.checks.sql import ACTION, LABEL, RISK, TIER_CODE, TODAY, big, dbl, query, rnd, score_of
 from stayline.functions import scalars as S
 from stayline.operators.profile import null_counts, profile
@@ -356,7 +356,7 @@ def _(w):
 )
 def _(w):
     tickets = P.ticket_features(w.tickets, SNAPSHOT)
-    usage = P.usage_features(w.usage, SNAPSHOT).select("account_id", "months_observed")
+    usage = usage_features(w).select("account_id", "months_observed")
     velocity = P.ticket_velocity(F.col("tickets_last_90d"), F.col("total_tickets"), F.col("months_observed"))
     return tickets.join(usage, "account_id").select("account_id", velocity.alias("ticket_velocity_ratio"))
 

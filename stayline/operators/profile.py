@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.operators.quantiles import quantiles_of_counts
+from stayline.operators.quantiles import quantiles_of_running, running_counts
+from stayline.operators.shapes import spine
 
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 
@@ -25,58 +26,51 @@ def shape(df: DataFrame) -> DataFrame:
 def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """One row per column.
 
-    All columns are counted in one pass: each row becomes (column, value) pairs that
-    are counted on the map side, so the shuffle carries distinct values, not rows.
-    Distinct counts, the top value and the quartiles all come from those counts.
+    Each row becomes (column, value) pairs that are counted on the map side, so the
+    shuffle carries distinct values, not rows. Distinct counts, the top value and the
+    quartiles all come from those counts.
     """
-    pairs = _pairs(df, numeric, categorical)
-    counts = pairs.groupBy("column_name", "text", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    described = counts.groupBy("column_name").agg(
-        F.sum("_n").alias("non_null"),
-        F.count(F.lit(1)).alias("n_distinct"),
-        F.max("_n").alias("top_frequency"),
-    )
-    tops = (
-        counts.where(F.col("text").isNotNull())
-        # On a tie in frequency the smallest text wins.
-        .groupBy("column_name", "_n")
-        .agg(F.min("text").alias("_key"))
-        .groupBy("column_name")
-        .agg(F.max_by("_key", "_n").alias("top_value"))
+    by = ["column_name"]
+    numbers = running_counts(_counts(df, numeric, "double"), by)
+    of_numbers = (
+        numbers.groupBy(*by)
+        .agg(
+            F.max("_upto").alias("non_null"),
+            F.count(F.lit(1)).alias("n_distinct"),
+            F.max("_n").alias("top_frequency"),
+        )
+        .withColumn("top_value", F.lit(None).cast("string"))
+        .join(_melt_moments(df, numeric), by)
+        .join(quantiles_of_running(numbers, QUARTILES, by), by)
     )
-    moments = _melt_moments(df, numeric)
-    quartiles = quantiles_of_counts(
-        counts.where(F.col("_value").isNotNull()).select("column_name", "_value", "_n"),
-        QUARTILES,
-        ["column_name"],
+    texts = _counts(df, categorical, "string")
+    # Values of one frequency first; on a tie in frequency the smallest text is the top.
+    levels = texts.groupBy(*by, "_n").agg(
+        F.count(F.lit(1)).alias("_values"), F.min("_value").alias("_first")
     )
-    return (
-        described.join(tops, "column_name", "left")
-        .join(moments, "column_name", "left")
-        .join(quartiles, "column_name", "left")
+    of_texts = levels.groupBy(*by).agg(
+        F.sum(F.col("_n") * F.col("_values")).alias("non_null"),
+        F.sum("_values").alias("n_distinct"),
+        F.max("_n").alias("top_frequency"),
+        F.max_by("_first", "_n").alias("top_value"),
     )
+    found = of_numbers.unionByName(of_texts, allowMissingColumns=True)
+    # Columns without a single value keep their row.
+    every = spine(df.sparkSession, "column_name", [*numeric, *categorical]).drop("position")
+    return every.join(found, "column_name", "left").na.fill(0, ["non_null", "n_distinct"])
 
 
-def _pairs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    entries = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(None).cast("string").alias("text"),
-            F.col(c).cast("double").alias("_value"),
-        )
-        for c in numeric
-    ] + [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(c).cast("string").alias("text"),
-            F.lit(None).cast("double").alias("_value"),
-        )
-        for c in categorical
-    ]
+def _counts(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
+    """Rows per column and distinct value, NULLs left out."""
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(kind).alias("_value")) for c in columns]
+    )
     return (
-        df.select(F.explode(F.array(*entries)).alias("pair"))
+        df.select(F.explode(pairs).alias("pair"))
         .select("pair.*")
-        .where(F.col("text").isNotNull() | F.col("_value").isNotNull())
+        .where(F.col("_value").isNotNull())
+        .groupBy("column_name", "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
 
 

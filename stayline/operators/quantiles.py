@@ -37,8 +37,19 @@ def quantiles_of_counts(
     counts: DataFrame, probabilities: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Quantiles from ``_value`` / ``_n`` pairs."""
+    return quantiles_of_running(running_counts(counts, by), probabilities, by)
+
+
+def running_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``_upto``: rows of the group up to and including each value."""
+    return running_totals(counts, ["_value"], {"_upto": "_n"}, by)
+
+
+def quantiles_of_running(
+    reached: DataFrame, probabilities: dict[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Pick the values at the wanted positions out of running counts."""
     by = list(by)
-    reached = running_totals(counts, ["_value"], {"_upto": "_n"}, by)
     total = reached.groupBy(*by).agg(F.max("_upto").alias("_total"))
     placed = attach(reached, total, by)
     picks = []

@@ -81,14 +81,41 @@ def account_features(accounts: DataFrame, snapshot: dt.date, regions: Sequence[s
     )
 
 
-def usage_features(usage: DataFrame, snapshot: dt.date) -> DataFrame:
+def _by_month(usage: DataFrame, columns: Sequence[str], one_row_per_month: bool) -> DataFrame:
+    """Rows, sums and known values per account and month.
+
+    A table that has one row per account and month already needs no shuffle for it.
+    """
+    if one_row_per_month:
+        return usage.select(
+            "account_id",
+            "month",
+            F.lit(1).cast("bigint").alias("rows"),
+            "api_calls",
+            "has_api_integration",
+            *[F.col(c).alias(f"sum_{c}") for c in columns],
+            *[flag(F.col(c).isNotNull()).alias(f"n_{c}") for c in columns],
+        )
+    return usage.groupBy("account_id", "month").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("api_calls").alias("api_calls"),
+        F.max("has_api_integration").alias("has_api_integration"),
+        *[F.sum(c).alias(f"sum_{c}") for c in columns],
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+    )
+
+
+def usage_features(
+    usage: DataFrame, snapshot: dt.date, one_row_per_month: bool = False
+) -> DataFrame:
     """Means, totals, login trend and last monthly change per account.
 
     Rows are first combined per account and month. After that an account has at most
     one row per calendar month, so the ordered step by account stays small even for
     an account that owns a third of the table. Rows that share a month are
     interchangeable: where "the last three rows" cuts through a month, the month's
-    mean stands for each of its rows.
+    mean stands for each of its rows. ``one_row_per_month`` skips the combining; set
+    it only where the table is known to be at that grain, as a grouped view is.
     """
     means = {
         "avg_monthly_logins": "logins",
@@ -96,17 +123,8 @@ def usage_features(usage: DataFrame, snapshot: dt.date) -> DataFrame:
         "avg_feature_adoption_pct": "feature_adoption_pct",
         "avg_data_processed_gb": "data_processed_gb",
     }
-    monthly = (
-        usage.where(F.col("month") <= F.lit(snapshot))
-        .groupBy("account_id", "month")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum("api_calls").alias("api_calls"),
-            F.max("has_api_integration").alias("has_api_integration"),
-            *[F.sum(c).alias(f"sum_{c}") for c in means.values()],
-            *[F.count(c).alias(f"n_{c}") for c in means.values()],
-        )
-    )
+    seen = usage.where(F.col("month") <= F.lit(snapshot))
+    monthly = _by_month(seen, list(means.values()), one_row_per_month)
     account = Window.partitionBy("account_id")
     so_far = account.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordered = monthly.withColumns(
@@ -252,6 +270,7 @@ def build_features(
     nps: DataFrame,
     snapshot: dt.date,
     regions: Sequence[str] = REGIONS,
+    one_usage_row_per_month: bool = False,
 ) -> DataFrame:
     """One row per account: id, features in fixed order, label.
 
@@ -261,7 +280,7 @@ def build_features(
     support = ticket_features(tickets, snapshot)
     joined = (
         account_features(accounts, snapshot, regions)
-        .join(usage_features(usage, snapshot), "account_id", "left")
+        .join(usage_features(usage, snapshot, one_usage_row_per_month), "account_id", "left")
         .join(support, "account_id", "left")
         .join(nps_features(nps, snapshot), "account_id", "left")
     )

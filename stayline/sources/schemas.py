@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _MONEY = T.DecimalType(18, 2)
-_RATIO = T.DecimalType(12, 6)
+# Sums of eight digits stay within a machine word.
+_RATIO = T.DecimalType(8, 6)
 _VOLUME = T.DecimalType(18, 4)
 
 

@@ -135,10 +135,10 @@ class Warehouse:
             .agg(
                 F.sum(F.col("l_quantity").cast("bigint")).alias("logins"),
                 numpy_round(ratio(F.sum(discount), rows * 10), 3)
-                .cast("decimal(9,3)")
+                .cast("decimal(8,3)")
                 .alias("active_user_ratio"),
                 numpy_round(ratio(F.sum(tax), rows * 100), 3)
-                .cast("decimal(9,3)")
+                .cast("decimal(8,3)")
                 .alias("feature_adoption_pct"),
                 numpy_round(ratio(F.sum(price), F.lit(100000)), 2)
                 .cast("decimal(14,2)")

@@ -87,6 +87,13 @@ def test_an_account_with_most_rows(spark, many_partitions):
     assert got["small"]["logins_mom_change"] == 1.0
 
 
+def test_monthly_tables_need_no_combining(spark):
+    rows = months("a", [10, 20, 30, 40]) + months("b", [5]) + [("c", "2024-06-01", None)]
+    table = micro.usage(spark, rows)
+    combined = micro.by_id(P.usage_features(table, SNAPSHOT))
+    assert micro.by_id(P.usage_features(table, SNAPSHOT, one_row_per_month=True)) == combined
+
+
 def test_ticket_edges(spark):
     cutoff = SNAPSHOT - dt.timedelta(days=90)
     rows = [

@@ -106,13 +106,14 @@ def test_pivot_shares(spark):
 
 
 def test_profile_and_nulls(spark, blocks):
-    rows = [(1, "x"), (2, "y"), (2, "y"), (None, "x"), (9, None)]
-    df = spark.createDataFrame(rows, "n int, c string")
-    got = {r["column_name"]: r.asDict() for r in profile.profile(df, ["n"], ["c"]).collect()}
+    rows = [(1, "x", None), (2, "y", None), (2, "y", None), (None, "x", None), (9, None, None)]
+    df = spark.createDataFrame(rows, "n int, c string, e double")
+    got = {r["column_name"]: r.asDict() for r in profile.profile(df, ["n", "e"], ["c"]).collect()}
+    assert got["e"]["non_null"] == got["e"]["n_distinct"] == 0 and got["e"]["q50"] is None
     numbers = [1, 2, 2, 9]
     assert got["n"]["non_null"] == 4 and got["n"]["n_distinct"] == 3 and got["n"]["top_frequency"] == 2
     assert got["n"]["q50"] == 2.0 and got["n"]["q75"] == np.quantile(numbers, 0.75)
     assert got["n"]["std"] == pytest.approx(np.std(numbers, ddof=1))
     assert got["c"]["top_value"] == "x" and got["c"]["n_distinct"] == 2 and got["c"]["mean"] is None
-    assert {tuple(r) for r in profile.null_counts(df).collect()} == {("n", 1), ("c", 1)}
-    assert tuple(profile.shape(df).first()) == (5, 2)
+    assert {tuple(r) for r in profile.null_counts(df).collect()} == {("n", 1), ("c", 1), ("e", 5)}
+    assert tuple(profile.shape(df).first()) == (5, 3)
