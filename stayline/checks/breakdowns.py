@@ -385,7 +385,7 @@ def _(w):
 
 @check("g6_cumulative_counts", query("SELECT threshold, pos, neg, tp, fp FROM curve"))
 def _(w):
-    return evaluation.cumulative_counts(evaluated(w))
+    return evaluation.cumulative_counts(evaluated(w)).drop("n_pos", "n_neg")
 
 
 # --- sort, top-k, unions -----------------------------------------------------

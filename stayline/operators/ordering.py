@@ -55,13 +55,16 @@ def running_totals(
     order: Sequence[Column | str],
     totals: dict[str, str],
     by: Sequence[str] = (),
+    whole: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add inclusive running sums of ``totals`` (new name -> column), within ``by``.
 
     The rows of one group may lie in many blocks. Blocks are summed by themselves
-    and shifted by what the earlier blocks of the group hold.
+    and shifted by what the earlier blocks of the group hold. ``whole`` (new name ->
+    name of a running sum) also adds the group's total to each row; it travels with
+    the block sums, as a join on the group alone would put a group into one task.
     """
-    by = list(by)
+    by, whole = list(by), whole or {}
     blocks = sorted_blocks(df, [*by, *order])
     inside = Window.partitionBy(*by, "_block").orderBy("_place").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -80,6 +83,10 @@ def running_totals(
             F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_shift_{name}")
             for name in totals
         ],
+        *[
+            F.sum(f"_sum_{name}").over(Window.partitionBy(*by)).alias(new)
+            for new, name in whole.items()
+        ],
     )
     summed = blocks.withColumns(
         {f"_in_{name}": F.sum(column).over(inside) for name, column in totals.items()}
@@ -96,10 +103,8 @@ def running_totals(
     )
 
 
-def attach(df: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Put per-group figures next to rows; without groups, the one row of figures."""
-    if by:
-        return df.join(summary, list(by))
+def attach(df: DataFrame, summary: DataFrame) -> DataFrame:
+    """Put the figures of a one-row table next to every row, as scalar subqueries."""
     return df.withColumns({c: summary.select(c).scalar() for c in summary.columns})
 
 

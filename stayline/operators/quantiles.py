@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.operators.ordering import attach, running_totals
+from stayline.operators.ordering import running_totals
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -41,24 +41,21 @@ def quantiles_of_counts(
 
 
 def running_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``_upto``: rows of the group up to and including each value."""
-    return running_totals(counts, ["_value"], {"_upto": "_n"}, by)
+    """Add ``_upto``, rows of the group up to and including each value, and ``_total``."""
+    return running_totals(counts, ["_value"], {"_upto": "_n"}, by, {"_total": "_upto"})
 
 
 def quantiles_of_running(
     reached: DataFrame, probabilities: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Pick the values at the wanted positions out of running counts."""
-    by = list(by)
-    total = reached.groupBy(*by).agg(F.max("_upto").alias("_total"))
-    placed = attach(reached, total, by)
     picks = []
     for name, probability in probabilities.items():
         position = (F.col("_total") - 1) * F.lit(float(probability))
         for side, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             picks.append(F.min(F.when(F.col("_upto") > index, F.col("_value"))).alias(f"_{side}_{name}"))
         picks.append(F.max(position - F.floor(position)).alias(f"_part_{name}"))
-    found = placed.groupBy(*by).agg(*picks)
+    found = reached.groupBy(*by).agg(*picks)
     results = []
     for name in probabilities:
         low = F.col(f"_lo_{name}").cast("double")

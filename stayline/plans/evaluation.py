@@ -32,17 +32,16 @@ def score_counts(
 def cumulative_counts(
     scores: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()
 ) -> DataFrame:
-    """True and false positives when everything from a score upwards is flagged."""
+    """True and false positives when everything from a score upwards is flagged, and
+    the sizes of both classes."""
     counts = score_counts(scores, label, score, by)
-    return running_totals(counts, [F.desc("threshold")], {"tp": "pos", "fp": "neg"}, by)
+    running = {"tp": "pos", "fp": "neg"}
+    return running_totals(counts, [F.desc("threshold")], running, by, {"n_pos": "tp", "n_neg": "fp"})
 
 
-def _class_sizes(curve: DataFrame, by: Sequence[str]) -> DataFrame:
-    return curve.groupBy(*by).agg(F.max("tp").alias("n_pos"), F.max("fp").alias("n_neg"))
-
-
-def _with_sizes(curve: DataFrame, by: Sequence[str]) -> DataFrame:
-    return attach(curve, _class_sizes(curve, by), by)
+def _groups(curve: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group, or one row in all."""
+    return curve.select(*by).distinct() if by else curve.sparkSession.range(1).drop("id")
 
 
 def roc_curve(
@@ -50,13 +49,13 @@ def roc_curve(
 ) -> DataFrame:
     """fpr and tpr per distinct score, after the point (0, 0) that flags nothing."""
     curve = cumulative_counts(scores, label, score, by)
-    points = _with_sizes(curve, by).select(
+    points = curve.select(
         *by,
         F.col("threshold").cast("double").alias("threshold"),
         ratio(F.col("fp"), F.col("n_neg")).alias("fpr"),
         ratio(F.col("tp"), F.col("n_pos")).alias("tpr"),
     )
-    origin = _class_sizes(curve, by).select(
+    origin = _groups(curve, by).select(
         *by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return points.unionByName(origin)
@@ -71,7 +70,7 @@ def pr_curve(
 ) -> DataFrame:
     """Precision and recall per distinct score, and the closing point (1, 0)."""
     curve = cumulative_counts(scores, label, score, by)
-    points = _with_sizes(curve, by).select(
+    points = curve.select(
         *by,
         F.col("threshold").cast("double").alias("threshold"),
         ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
@@ -79,7 +78,7 @@ def pr_curve(
     )
     if not closing_point:
         return points
-    end = _class_sizes(curve, by).select(
+    end = _groups(curve, by).select(
         *by,
         F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"),
@@ -107,8 +106,8 @@ def _sums(curve: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
     return curve.groupBy(*by).agg(
         F.sum(_pairs_won(F.col("tp"), F.col("pos"), F.col("neg"))).alias("won"),
         F.sum(steps).alias("steps"),
-        F.max("tp").alias("n_pos"),
-        F.max("fp").alias("n_neg"),
+        F.max("n_pos").alias("n_pos"),
+        F.max("n_neg").alias("n_neg"),
         *more,
     )
 
@@ -277,7 +276,7 @@ def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
     # One row per class: two for a 0/1 label.
     every = sizes.agg(F.sum("n_class").alias("n"), F.count(F.lit(1)).alias("classes"))
-    return attach(sizes, every, ()).select(
+    return attach(sizes, every).select(
         label,
         "n_class",
         ratio(F.col("n"), F.col("classes") * F.col("n_class")).alias("class_weight"),

@@ -168,7 +168,7 @@ def scaling_figures(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def standardize(df: DataFrame, figures: DataFrame, columns: Sequence[str]) -> DataFrame:
     """z-scores with figures learnt elsewhere; a constant column becomes 0."""
-    row = attach(df, figures, ())
+    row = attach(df, figures)
     scaled = {}
     for c in columns:
         spread = F.when(F.col(f"std_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"std_{c}"))
@@ -345,7 +345,7 @@ def comparison_row(name: str, test_metrics: DataFrame, summary: DataFrame) -> Da
     auc = summary.where("metric = 'roc_auc'").select(
         F.col("mean").alias("cv_roc_auc_mean"), F.col("std").alias("cv_roc_auc_std")
     )
-    whole = attach(test_metrics, auc, ())
+    whole = attach(test_metrics, auc)
     figures = (
         "roc_auc",
         "average_precision",
