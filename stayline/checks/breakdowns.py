@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
 from stayline.checks.shared import evaluated, predictions, rival_figures, scores, survey_features, usage_features
-from stayline.checks.sql import LABEL, TODAY, big, dbl, mean, query, rnd
+from stayline.checks.sql import big, dbl, mean, query, rnd
 from stayline.functions import scalars as S
 from stayline.operators.ordering import rank_rows, top_k
 from stayline.operators.shapes import best_row

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import evaluated, feature_table, predictions, survey_features, usage_features
-from stayline.checks.sql import LABEL, big, dbl, query, rnd, score_of
+from stayline.checks.shared import feature_table, predictions, survey_features, usage_features
+from stayline.checks.sql import big, dbl, query
 from stayline.functions import scalars as S
 from stayline.operators.quantiles import exact_median
 from stayline.operators.shapes import on_spine

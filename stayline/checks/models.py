@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import evaluated, feature_table, rival_figures, rivals, scores
+from stayline.checks.shared import evaluated, feature_table, rival_figures, scores
 from stayline.checks.sql import big, query, rnd
 from stayline.functions import scalars as S
 from stayline.operators.shapes import best_row, upsert
