@@ -49,6 +49,14 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(summary: DataFrame) -> DataFrame:
+    """Deal a table of sums out evenly before it is joined to the rows that it sums up.
+
+    Otherwise the join runs where the sums were made, and Spark can't split a hot key's rows there.
+    """
+    return summary.repartition(int(summary.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def null_to_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

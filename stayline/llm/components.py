@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import staged
+from stayline.llm.common import apart, staged
 
 
 def _smallest(pairs: DataFrame) -> DataFrame:
     """With each pair (u, v) the smallest neighbour of u, u itself included."""
     low = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return pairs.join(low, "u")
+    return pairs.join(apart(low), "u")
 
 
 def components(links: DataFrame) -> DataFrame:

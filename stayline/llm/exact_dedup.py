@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import SPACE, buckets_for, null_to_empty, numbered, pick, place, staged
+from stayline.llm.common import SPACE, apart, buckets_for, null_to_empty, numbered, pick, place, staged
 
 #: Fingerprints that a merging task holds at most, unless hashes are badly uneven.
 MERGE_FINGERPRINTS = 1 << 18
@@ -143,7 +143,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again = repeated_fingerprints(rows, rows.count()).select("fp")
     # Grouped by the text itself: this is the comparison byte by byte.
     groups = (
-        text.join(again, "fp", "left_semi")
+        text.join(apart(again), "fp", "left_semi")
         .groupBy("fp", "text")
         .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .select("fp", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")

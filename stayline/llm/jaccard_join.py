@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import NOT_SPACE, Words, buckets_for, mixed, numbered, pick, place, slices, staged, stretch_hashes
+from stayline.llm.common import NOT_SPACE, Words, apart, buckets_for, mixed, numbered, pick, place, slices, staged, stretch_hashes
 from stayline.llm.components import components
 
 
@@ -461,7 +461,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(links(source, members, rule))
     rooted = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     smallest = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return rooted.join(smallest, "root", "left").select(
+    return rooted.join(apart(smallest), "root", "left").select(
         "doc_id",
         "row_id",
         F.col("n").alias("n_shingles"),
@@ -478,5 +478,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     groups = staged(near_groups(rows, f"_{place(docs, id_col)}", f"_{place(docs, text_col)}", "row", rule))
     key = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id").alias("id"), F.col("row_id").alias("row"))
     first = groups.filter("root is not null").groupBy("root").agg(F.min(key).getField("row").alias("first"))
-    gone = groups.join(first, "root").filter("row_id <> first").select(F.col("row_id").alias("row"))
+    gone = groups.join(apart(first), "root").filter("row_id <> first").select(F.col("row_id").alias("row"))
     return rows.join(gone, "row", "left_anti").select(*plain.columns).toDF(*docs.columns)

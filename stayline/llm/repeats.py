@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import null_to_empty, pick, slices, staged, stretch_hashes
+from stayline.llm.common import apart, null_to_empty, pick, slices, staged, stretch_hashes
 
 #: Bits of the table that says whose windows are to be compared: 16 a group, between these bounds.
 LEAST_BITS, MOST_BITS = 22, 28
@@ -128,14 +128,14 @@ def repeated_groups(rows: DataFrame, kind: Kind) -> DataFrame:
         .filter("c > 1")
         .drop("c")
     )
-    return staged(groups.join(again, "anchor"))
+    return staged(groups.join(apart(again), "anchor"))
 
 
 def with_spans(groups: DataFrame) -> DataFrame:
     """Adds how often a group's stretch occurs (``c``), in which document first, and where that is."""
     key = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id").alias("id"), F.col("k1").alias("k1"), F.col("k2").alias("k2"), F.col("lo").alias("lo"))
     spans = groups.groupBy("span1", "span2").agg(F.count(F.lit(1)).alias("c"), F.min(key).alias("first"))
-    return groups.join(spans, ["span1", "span2"])
+    return groups.join(apart(spans), ["span1", "span2"])
 
 
 def is_first() -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm import repeats
-from stayline.llm.common import NOT_SPACE, Words, slices, staged, stretch_hashes
+from stayline.llm.common import NOT_SPACE, Words, apart, slices, staged, stretch_hashes
 
 WINDOW, GRAM = 50, 25
 
@@ -64,7 +64,7 @@ def removals(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     id_type = rows.schema["doc_id"].dataType.simpleString()
     windows = staged(rows.mapInArrow(run, f"doc_id {id_type}, k1 long, k2 long, start long, h1 long, h2 long"))
     firsts = windows.groupBy("h1", "h2").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id").alias("id"))).alias("first"))
-    late = windows.join(firsts, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first.id")))
+    late = windows.join(apart(firsts), ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first.id")))
     return whole.unionByName(late.select("k1", "k2", "start", (F.col("start") + window).alias("end")))
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm import repeats
-from stayline.llm.common import buckets_for, slices, staged, stretch_hashes, text_bytes
+from stayline.llm.common import apart, buckets_for, slices, staged, stretch_hashes, text_bytes
 
 LENGTH, GRAM = 400, 100
 #: Stretches in a shard, and of one anchor in one shard.
@@ -155,7 +155,7 @@ def removals(rows: DataFrame, length: int = LENGTH, shard_stretches: int = SHARD
     shards = buckets_for(stretches.count(), shard_stretches // 2)
     sizes = stretches.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / shard_stretches).alias("parts"))
     dealt = (
-        stretches.join(sizes, "anchor")
+        stretches.join(apart(sizes), "anchor")
         .withColumn("part", F.pmod(F.xxhash64("k1", "k2", "lo"), F.col("parts")))
         # A split anchor has shards of its own.
         .withColumn("shard", F.when(F.col("parts") > 1, F.xxhash64("anchor", "part")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))))
@@ -227,7 +227,7 @@ def removals(rows: DataFrame, length: int = LENGTH, shard_stretches: int = SHARD
         .applyInArrow(merge, "h1 long, h2 long")
         .distinct()
     )
-    crossed = spoken.join(between, ["h1", "h2"]).select("k1", "k2", "start")
+    crossed = spoken.join(apart(between), ["h1", "h2"]).select("k1", "k2", "start")
     strings = known.unionByName(crossed).select("k1", "k2", "start", (F.col("start") + length).alias("end"))
     return whole.unionByName(strings)
 

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import null_to_empty, pick, slices, staged
+from stayline.llm.common import apart, null_to_empty, pick, slices, staged
 
 # Fixed values of the format.
 SKIPPABLE = 0x184D2A5D
@@ -170,7 +170,7 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         .select("digest", F.col("first.id").alias("response"), F.col("first.row").alias("first_row"))
     )
     revisits = (F.col("size") >= least) & F.coalesce(F.col("row") != F.col("first_row"), F.lit(False))
-    return rows.join(firsts, "digest", "left").select(
+    return rows.join(apart(firsts), "digest", "left").select(
         "page_id",
         "url",
         "html",
