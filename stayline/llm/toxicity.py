@@ -33,6 +33,8 @@ WINDOW, STRIDE = 32, 24
 #: Labelled rows that the network is fitted on at most.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1200, 2400
 EPOCHS, BATCH, RATE = 5, 48, 0.01
+#: Steps that training takes at least, by more passes over a small sample.
+STEPS = 400
 #: Vocabulary, trigram table, sizes of the word vector, of the trigram vector and of a state.
 VOCABULARY, TRIGRAM_BITS, WORD_SIZE, CHAR_SIZE, STATE = 12_000, 13, 8, 8, 8
 #: Score from which a text counts as toxic.
@@ -216,6 +218,7 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed:
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
     step = 0
+    epochs = max(epochs, -(-STEPS // -(-len(y) // BATCH)))
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     for epoch in range(epochs):
         chunks = [net.logits(texts[i : i + 300]) for i in range(0, len(texts), 300)]
