@@ -233,7 +233,7 @@ def _(w):
 
 
 _MIX = ", ".join(
-    f"count(*) FILTER (priority = '{p}')::DOUBLE / count(*) * 100 AS {p}" for p in eda.PRIORITIES
+    f"count(*) FILTER (priority = '{p}')::DOUBLE / count(*) * 100 AS {p}" for p in ("critical", "high", "low", "medium")
 )
 
 

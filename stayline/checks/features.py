@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import feature_table, predictions, survey_features, usage_features
+from stayline.checks.shared import SWEEP, feature_table, predictions, survey_features, usage_features
 from stayline.checks.sql import big, dbl, query
 from stayline.functions import scalars as S
 from stayline.operators.quantiles import exact_median
@@ -287,7 +287,7 @@ def _(w):
     return P.impute(feature_table(w), fills).select("account_id", *P.ZERO_FILLED)
 
 
-_STEPS = ", ".join(f"({t!r}::DOUBLE)" for t in scoring.THRESHOLDS)
+_STEPS = ", ".join(f"({t}::DOUBLE)" for t in SWEEP)
 
 
 @check(

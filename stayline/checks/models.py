@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import evaluated, feature_table, rival_figures, scores
+from stayline.checks.shared import SWEEP, evaluated, feature_table, rival_figures, scores
 from stayline.checks.sql import big, query, rnd
 from stayline.functions import scalars as S
 from stayline.operators.shapes import best_row, upsert
@@ -344,7 +344,7 @@ def action_list(w):
         f"""SELECT t.threshold, count(s.account_id) AS accounts_flagged,
         coalesce(CAST(sum(s.arr) FILTER (s.churned = 1) AS DOUBLE), 0)
         / (SELECT CAST(sum(arr) FILTER (churned = 1) AS DOUBLE) FROM scored) AS arr_coverage
-        FROM (VALUES {', '.join(f'({t!r}::DOUBLE)' for t in scoring.THRESHOLDS)}) t(threshold)
+        FROM (VALUES {', '.join(f'({t}::DOUBLE)' for t in SWEEP)}) t(threshold)
         LEFT JOIN scored s ON s.churn_proba >= t.threshold GROUP BY 1"""
     ),
 )

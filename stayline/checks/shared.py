@@ -11,6 +11,12 @@ from stayline.plans.evaluation import model_metrics
 from stayline.plans.scoring import score_table
 from stayline.sources.warehouse import REGIONS, SNAPSHOT, Warehouse
 
+# The thresholds of the sweep, written out so that SQL doesn't take them from the code under test.
+SWEEP = (
+    "0.1, 0.15000000000000002, 0.20000000000000004, 0.25000000000000006, 0.30000000000000004, 0.3500000000000001, 0.40000000000000013, 0.45000000000000007, "
+    "0.5000000000000001, 0.5500000000000002, 0.6000000000000002, 0.6500000000000001, 0.7000000000000002, 0.7500000000000002, 0.8000000000000002, 0.8500000000000002"
+).split(", ")
+
 RIVALS = {"alpha": 7919, "beta": 6271, "gamma": 4523}
 
 

@@ -27,7 +27,13 @@ def share_within(df: DataFrame, amount: str, by: Sequence[str], name: str) -> Da
 
 
 def pivot_shares(df: DataFrame, row: str, column: str, amount: str, values: Sequence[str]) -> DataFrame:
-    """Counts laid out by ``column`` and turned into percentages of each row."""
+    """Counts laid out by ``column`` and turned into percentages of each row.
+
+    ``values`` come first, whether they occur or not; others that occur follow in order.
+    For counted tables (few rows per value).
+    """
+    others = df.select(column).dropna().distinct().where(~F.col(column).isin(list(values)))
+    values = [*values, *(r[0] for r in others.orderBy(column).collect())]
     wide = df.groupBy(row).pivot(column, list(values)).agg(F.sum(amount)).na.fill(0)
     total = sum((F.col(v) for v in values[1:]), F.col(values[0]))
     return wide.select(

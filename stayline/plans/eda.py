@@ -205,7 +205,7 @@ def priority_share(tickets: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def priority_mix(tickets: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Priority percentages per label, one column per priority."""
+    """Priority percentages per label, one column per priority; others that occur follow the usual ones."""
     return pivot_shares(
         _priority_counts(tickets, accounts), "churn_label", "priority", "tickets", PRIORITIES
     )

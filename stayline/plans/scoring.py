@@ -45,8 +45,9 @@ ACTION_COLUMNS = (
     "contract_end_date",
     "recommended_action",
 )
-# 0.10, 0.15 .. 0.85 as start + i * step in doubles.
-THRESHOLDS = tuple(0.1 + i * 0.05 for i in range(16))
+# 0.10, 0.15 .. 0.85 as numpy's arange gives them: it goes by the rounded difference of the first two values.
+_START, _STEP = 0.1, (0.1 + 0.05) - 0.1
+THRESHOLDS = tuple(_START + i * _STEP for i in range(16))
 
 
 def score_table(

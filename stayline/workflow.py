@@ -144,13 +144,14 @@ def act(
     write_table(scoring.score_table(predictions, accounts, exclude_churned), f"{out}/scores")
     scores = spark.read.parquet(f"{out}/scores")
     write_table(scoring.action_list(scores), f"{out}/cs_action_list", "csv")
+    # Quality is measured on every account and on probabilities that aren't rounded.
     evaluated = dict(label="churned", score="churn_proba")
     tables = {
         "tier_summary": scoring.tier_summary(scores),
         "portfolio_summary": scoring.portfolio_summary(scores),
         "threshold_sweep": scoring.threshold_sweep(scores),
-        "f1_by_threshold": evaluation.f1_by_threshold(scores, **evaluated),
-        "ranking_quality": evaluation.ranking_quality(scores, **evaluated),
+        "f1_by_threshold": evaluation.f1_by_threshold(predictions, **evaluated),
+        "ranking_quality": evaluation.ranking_quality(predictions, **evaluated),
     }
     for name, df in tables.items():
         write_table(df, f"{out}/{name}")

@@ -78,3 +78,10 @@ def test_histogram_of_one_value(accounts):
     rows = [r for r in eda.mrr_histogram(accounts).collect() if r["accounts"]]
     assert {(r["churn_label"], r["bin"], r["accounts"]) for r in rows} == {("Active", 20, 2), ("Churned", 20, 1)}
     assert {r["bin_from"] for r in rows} == {100.0}
+
+
+def test_priority_mix_has_every_priority_that_occurs(spark):
+    people = spark.createDataFrame([(1, 0)], "account_id long, churned int")
+    tickets = spark.createDataFrame([(1, 1, "urgent"), (2, 1, "high")], "ticket_id long, account_id long, priority string")
+    row = eda.priority_mix(tickets, people).first()
+    assert (row["high"], row["urgent"]) == (50.0, 50.0)

@@ -79,3 +79,13 @@ def test_tiers_and_portfolio(scores):
     low = scoring.tier_summary(scores.where("risk_tier = 'Low'")).orderBy("position").collect()
     assert [r["risk_tier"] for r in low] == ["Critical", "High", "Moderate", "Low"]
     assert low[0]["accounts"] is None
+
+
+def test_thresholds_are_those_of_arange(spark):
+    import numpy as np
+
+    assert list(scoring.THRESHOLDS) == np.arange(0.1, 0.9, 0.05).tolist()
+    # The ninth threshold is a little above one half.
+    one = spark.createDataFrame([("a", 0.5, 1, 10.0)], "account_id string, churn_proba double, churned int, arr double")
+    flagged = {r["threshold"]: r["accounts_flagged"] for r in scoring.threshold_sweep(one).collect()}
+    assert flagged[scoring.THRESHOLDS[8]] == 0 and flagged[scoring.THRESHOLDS[7]] == 1
