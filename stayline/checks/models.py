@@ -164,6 +164,32 @@ def _(w):
     return scored.select("account_id", "churned", "churn_proba", "prediction", "is_test")
 
 
+@check(
+    "i11_prediction_rules",
+    query(
+        f"""SELECT model, account_id, {big('churned')} AS churned, is_test, true AS in_range, true AS follows FROM split
+        CROSS JOIN (VALUES ('Logistic Regression'), ('Random Forest'), ('Boosted Trees')) m(model)"""
+    ),
+)
+def _(w):
+    """What holds for the predictions of any fitted model: who is scored, and how the class follows."""
+    ready = prepared(w)
+    probability = F.col("churn_proba")
+    parts = []
+    for name, fit in (("Logistic Regression", fitted_logistic), ("Random Forest", fitted_forest), ("Boosted Trees", fitted_boosted)):
+        parts.append(
+            M.predict(fit(ready), ready.everyone).select(
+                F.lit(name).alias("model"),
+                "account_id",
+                "churned",
+                "is_test",
+                probability.between(0, 1).alias("in_range"),
+                (F.col("prediction") == (probability > 0.5).cast("int")).alias("follows"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # --- evaluation --------------------------------------------------------------
 
 _COUNTS = """(SELECT count(*) FILTER (label = 0 AND score < 0.5) AS tn, count(*) FILTER (label = 0 AND score >= 0.5) AS fp,

@@ -59,13 +59,13 @@ def rival_figures(w: Warehouse) -> DataFrame:
 
 def feature_table(w: Warehouse) -> DataFrame:
     return P.build_features(
-        w.accounts, w.usage, w.tickets, w.nps, SNAPSHOT, REGIONS, one_usage_row_per_month=True
+        w.accounts, w.usage_until(SNAPSHOT), w.tickets, w.nps, SNAPSHOT, REGIONS, one_usage_row_per_month=True
     )
 
 
 def usage_features(w: Warehouse) -> DataFrame:
     """The usage view is grouped by account and month."""
-    return P.usage_features(w.usage, SNAPSHOT, one_row_per_month=True)
+    return P.usage_features(w.usage_until(SNAPSHOT), SNAPSHOT, one_row_per_month=True)
 
 
 def survey_features(w: Warehouse) -> DataFrame:

@@ -84,8 +84,13 @@ def churn_label(churned: Column) -> Column:
 
 
 def one_hot(value: Column, categories: Sequence[str], prefix: str) -> dict[str, Column]:
-    """One 0/1 column per category, in alphabetical order; NULL sets none."""
-    return {f"{prefix}_{name}": flag(value == F.lit(name)) for name in sorted(categories)}
+    """One 0/1 column per category, in alphabetical order; NULL sets none, an unlisted value is an error."""
+    unlisted = F.raise_error(F.concat(F.lit(f"{prefix} is not among the listed ones: "), value))
+    listed = value.isNull() | value.isin(list(categories))
+    return {
+        f"{prefix}_{name}": F.when(listed, flag(value == F.lit(name))).otherwise(unlisted)
+        for name in sorted(categories)
+    }
 
 
 def category_position(value: Column, order: Sequence[str]) -> Column:

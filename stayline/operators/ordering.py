@@ -104,8 +104,9 @@ def running_totals(
 
 
 def attach(df: DataFrame, summary: DataFrame) -> DataFrame:
-    """Put the figures of a one-row table next to every row, as scalar subqueries."""
-    return df.withColumns({c: summary.select(c).scalar() for c in summary.columns})
+    """Put the figures of a one-row table next to every row, as one scalar subquery."""
+    row = summary.select(F.struct(*summary.columns)).scalar()
+    return df.withColumns({c: row.getField(c) for c in summary.columns})
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:

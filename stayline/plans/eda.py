@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.scalars import (
@@ -26,9 +26,8 @@ from stayline.functions.scalars import (
 from stayline.operators.quantiles import exact_median
 from stayline.operators.shapes import equal_width_bin, on_spine, pivot_shares, share_within
 
-# Priorities in column order, and the quarters a chart shows.
+# Priorities in column order.
 PRIORITIES = ("critical", "high", "low", "medium")
-QUARTERS = ("Q1_2024", "Q2_2024", "Q3_2024", "Q4_2024", "Q1_2025")
 MRR_BINS = 40
 NPS_SCORES = tuple(range(11))
 
@@ -165,12 +164,23 @@ def nps_by_churned(nps: DataFrame, accounts: DataFrame) -> DataFrame:
     return means.select("churned", numpy_round(F.col("mean_value"), 2).alias("avg_nps"))
 
 
-def nps_by_quarter(nps: DataFrame, accounts: DataFrame, quarters: Sequence[str] = QUARTERS) -> DataFrame:
-    """Mean score per listed quarter that occurs, in list order; the quarter is the stored text."""
-    sums = _account_sums(nps.where(F.col("quarter").isin(list(quarters))), "nps_score", ["quarter"])
+def nps_by_quarter(nps: DataFrame, accounts: DataFrame, quarters: Sequence[str] | None = None) -> DataFrame:
+    """Mean score per quarter; the quarter is the stored text.
+
+    Every quarter that occurs, by year and then by name; with a list, those of the
+    list that occur, in list order. ``position`` counts from 0.
+    """
+    if quarters is None:
+        listed = nps
+        # A row per quarter and label.
+        place = F.dense_rank().over(Window.orderBy(F.substring_index("quarter", "_", -1), "quarter")) - 1
+    else:
+        listed = nps.where(F.col("quarter").isin(list(quarters)))
+        place = category_position(F.col("quarter"), quarters)
+    sums = _account_sums(listed, "nps_score", ["quarter"])
     means = _label_means(sums, accounts, ["quarter", "churn_label"])
     return means.select(
-        category_position(F.col("quarter"), quarters).alias("position"),
+        place.alias("position"),
         "quarter",
         "churn_label",
         F.col("mean_value").alias("avg_nps"),

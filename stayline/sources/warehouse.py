@@ -110,11 +110,12 @@ class Warehouse:
             .drop("last_order_date", "renewed")
         )
 
-    def _lines(self) -> DataFrame:
+    def _lines(self, wanted: Column | None = None) -> DataFrame:
         """Lines with their order. Both sides grow with the data, so neither is to be
         broadcast; a sort-merge join also lets the adaptive planner split hot keys."""
+        lines = self.table("lineitem")
         return (
-            self.table("lineitem")
+            (lines if wanted is None else lines.where(wanted))
             .hint("merge")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         )
@@ -122,13 +123,21 @@ class Warehouse:
     @cached_property
     def usage(self) -> DataFrame:
         """One row per account and month; the grouping is combined before the shuffle."""
+        return self._by_month(self._lines())
+
+    def usage_until(self, last: dt.date) -> DataFrame:
+        """Usage of the months that begin by a day. The bound stands on the stored
+        column, so the scan of the lines can skip by it."""
+        following = (last.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+        return self._by_month(self._lines(F.col("l_shipdate") < F.lit(following).cast("timestamp_ntz")))
+
+    def _by_month(self, lines: DataFrame) -> DataFrame:
         discount = hundredths(F.col("l_discount"))
         tax = hundredths(F.col("l_tax"))
         price = hundredths(F.col("l_extendedprice"))
         rows = F.count(F.lit(1))
         return (
-            self._lines()
-            .groupBy(
+            lines.groupBy(
                 F.col("o_custkey").alias("account_id"),
                 F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"),
             )

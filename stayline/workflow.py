@@ -80,23 +80,23 @@ def train(
     weighted = modeling.with_positive_weight(folded, modeling.positive_weight(weighed_on))
 
     plain = modeling.logistic(ready.n_train)
-    _keep(spark, out, LOGISTIC, plain, plain.fit(balanced), balanced, ready)
+    _keep(spark, out, LOGISTIC, plain, plain.fit(balanced), balanced, ready, parallelism)
     tuned = modeling.grid_search(modeling.forest(), forest_grid, balanced, parallelism=parallelism)
     best = modeling.forest(**tuned.best)
-    _keep(spark, out, FOREST, best, tuned.model, balanced, ready, tuned.trials)
+    _keep(spark, out, FOREST, best, tuned.model, balanced, ready, parallelism, tuned.trials)
     tuned = modeling.grid_search(modeling.boosted(), boost_grid, weighted, parallelism=parallelism)
     best = modeling.boosted(**tuned.best)
-    _keep(spark, out, BOOSTED, best, tuned.model, weighted, ready, tuned.trials)
+    _keep(spark, out, BOOSTED, best, tuned.model, weighted, ready, parallelism, tuned.trials)
     return read_metrics(spark, f"{out}/model_comparison")
 
 
-def _keep(spark, out, name, estimator, model, rows, ready, trials=None) -> None:
+def _keep(spark, out, name, estimator, model, rows, ready, parallelism, trials=None) -> None:
     """Store a fitted model with its test figures, curves and feature table."""
     place = f"{out}/models/{slug(name)}"
     modeling.save_model(modeling.bundle(ready.vectors, model, ready.fills), f"{place}/model")
     held = modeling.predict(model, ready.test).select("churned", "churn_proba", "prediction").checkpoint()
     scored = dict(label="churned", score="churn_proba")
-    summary = modeling.cv_summary(modeling.fold_metrics(modeling.out_of_fold(estimator, rows)))
+    summary = modeling.cv_summary(modeling.fold_metrics(modeling.out_of_fold(estimator, rows, parallelism=parallelism)))
     figures = evaluation.model_metrics(held, **scored, strictly_above=True)
     upsert_metrics(spark, f"{out}/model_comparison", modeling.comparison_row(name, figures, summary))
     counts = evaluation.confusion_of(held, "churned", "prediction")
@@ -158,8 +158,10 @@ def act(
     return {"scores": scores, **{n: spark.read.parquet(f"{out}/{n}") for n in tables}}
 
 
-def describe(spark: SparkSession, raw: str, out: str, format: str = "csv") -> None:
-    """Write every descriptive breakdown as a small table."""
+def describe(
+    spark: SparkSession, raw: str, out: str, format: str = "csv", quarters: Sequence[str] | None = None
+) -> None:
+    """Write every descriptive breakdown as a small table; all quarters unless some are listed."""
     t = read_raw(spark, raw, format)
     accounts, usage = t["accounts"], t["usage_metrics"]
     tickets, nps = t["support_tickets"], t["nps_surveys"]
@@ -186,7 +188,7 @@ def describe(spark: SparkSession, raw: str, out: str, format: str = "csv") -> No
         "priority_share": eda.priority_share(tickets, accounts),
         "support_by_label": eda.support_by_label(tickets, accounts),
         "nps_distribution": eda.nps_distribution(nps, accounts),
-        "nps_by_quarter": eda.nps_by_quarter(nps, accounts),
+        "nps_by_quarter": eda.nps_by_quarter(nps, accounts, quarters),
         "nps_by_churned": eda.nps_by_churned(nps, accounts),
     }
     for name, df in tables.items():

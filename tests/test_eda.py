@@ -74,6 +74,17 @@ def test_nps_tables(spark, accounts):
     }
 
 
+def test_every_quarter_that_occurs_in_time_order(spark, accounts):
+    named = [("a", "Q2_2030", 1), ("a", "Q4_2029", 2), ("b", "Q4_2029", 3)]
+    nps = spark.createDataFrame(named, "account_id string, quarter string, nps_score int")
+    rows = eda.nps_by_quarter(nps, accounts).collect()
+    assert {(r["position"], r["quarter"], r["avg_nps"]) for r in rows} == {
+        (0, "Q4_2029", 2.0), (0, "Q4_2029", 3.0), (1, "Q2_2030", 1.0),
+    }
+    listed = eda.nps_by_quarter(nps, accounts, ["Q2_2030", "Q1_2000"]).collect()
+    assert [(r["position"], r["quarter"]) for r in listed] == [(0, "Q2_2030")]
+
+
 def test_histogram_of_one_value(accounts):
     rows = [r for r in eda.mrr_histogram(accounts).collect() if r["accounts"]]
     assert {(r["churn_label"], r["bin"], r["accounts"]) for r in rows} == {("Active", 20, 2), ("Churned", 20, 1)}

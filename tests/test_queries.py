@@ -75,3 +75,6 @@ def test_filters_and_columns_reach_the_scan(spark):
     scan = next(part for part in plan.split("\n\n") if "orders.parquet" in part)
     assert "LessThan(o_orderdate" in scan
     assert "o_totalprice" not in scan and "o_orderstatus" not in scan
+    plan = _plan(QUERIES["d9_login_trend_pct"](spark, FOLDER))
+    scan = next(part for part in plan.split("\n\n") if "lineitem.parquet" in part)
+    assert "LessThan(l_shipdate" in scan

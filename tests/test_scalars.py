@@ -43,11 +43,17 @@ def test_lookups(spark):
 
 
 def test_one_hot_is_alphabetical_and_null_sets_none(spark):
-    df = spark.createDataFrame([("NA",), ("APAC",), (None,), ("LATAM",)], "region string")
+    df = spark.createDataFrame([("NA",), ("APAC",), (None,)], "region string")
     flags = S.one_hot(F.col("region"), ["NA", "EMEA", "APAC"], "region")
     assert list(flags) == ["region_APAC", "region_EMEA", "region_NA"]
     rows = [tuple(r) for r in df.select(*flags.values()).collect()]
-    assert rows == [(0, 0, 1), (1, 0, 0), (0, 0, 0), (0, 0, 0)]
+    assert rows == [(0, 0, 1), (1, 0, 0), (0, 0, 0)]
+
+
+def test_an_unlisted_category_is_an_error(spark):
+    df = spark.createDataFrame([("NA",), ("LATAM",)], "region string")
+    with pytest.raises(Exception, match="not among the listed ones: LATAM"):
+        df.select(*S.one_hot(F.col("region"), ["NA", "EMEA"], "region").values()).collect()
 
 
 def test_risk_bands_have_inclusive_lower_bounds(spark):

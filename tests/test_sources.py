@@ -52,6 +52,16 @@ def test_malformed_date_is_an_error(spark, tmp_path):
         read_table(spark, str(tmp_path / "n.csv"), schemas.NPS_SURVEYS).collect()
 
 
+@pytest.mark.parametrize("ratio, volume", [("0.12345678", "1"), ("0.5", "1.23456"), ("x", "1"), ("123.5", "1")])
+def test_digits_a_column_does_not_hold_are_an_error(spark, tmp_path, ratio, volume):
+    names = [f.name for f in schemas.USAGE_METRICS]
+    row = {"account_id": "a", "active_user_ratio": ratio, "data_processed_gb": volume}
+    lines = [",".join(names), ",".join(row.get(n, "") for n in names)]
+    (tmp_path / "u.csv").write_text("\n".join(lines))
+    with pytest.raises(Exception, match="can't be cast"):
+        read_table(spark, str(tmp_path / "u.csv"), schemas.USAGE_METRICS).collect()
+
+
 def test_rank_is_a_column_in_the_file(spark, tmp_path):
     from stayline.operators.ordering import rank_rows
 
