@@ -19,6 +19,7 @@ that are labelled twice count twice, null labels not at all. Other columns are n
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -274,9 +275,17 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
         ids = some if ids is None else ids.unionByName(some)
     # At most toxic + clean rows, so small enough to send to every task.
     few = F.broadcast(ids.select(F.col("doc_id").alias("labelled"), F.col("toxic").cast("int").alias("toxic")))
-    rows = docs.join(few, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic").collect()
-    rows = sorted(((r[0], r[1] or "", int(r[2] == 1)) for r in rows))[: 2 * (toxic + clean)]
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+    rows = docs.join(few, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic")
+    most = 2 * (toxic + clean)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["doc_id"], r["text"] or "", int(r["toxic"] == 1)) for batch in batches for r in batch.to_pylist())[:most]
+        net = fit([r[1] for r in rows], [r[2] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.vocabulary, net.w))], pa.binary())], ["net"])
+
+    # The sample is bounded, so one task trains on it; the driver holds nothing but the weights.
+    found = rows.repartition(1).mapInArrow(run, "net binary").collect()
+    return Network(*pickle.loads(bytes(found[0][0]))) if found else fit([], [])
 
 
 def score(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
