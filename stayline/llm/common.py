@@ -129,14 +129,29 @@ def _powers(base: int, n: int) -> np.ndarray:
 BASES = (Powers(0x9E3779B97F4A7C15), Powers(0xD1342543DE82EF95))
 
 
-def stretch_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """Rabin-Karp hashes modulo 2**64 of values[start:end], mixed with the length; the place doesn't matter."""
-    up, down = BASES[which].to(len(values) + 1)
+def stretch_sums(values: np.ndarray, which: int = 0) -> np.ndarray:
+    """Rabin-Karp sums before each value; one more for the end."""
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values.astype(np.uint64) * up[:-1], out=sums[1:])
+    np.cumsum(values * BASES[which].to(len(values) + 1)[0][:-1], out=sums[1:])
+    return sums
+
+
+def stretch_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0, summed: bool = False) -> np.ndarray:
+    """Rabin-Karp hashes modulo 2**64 of values[start:end], mixed with the length; the place doesn't matter.
+
+    ``summed``: the values are ``stretch_sums`` already.
+    """
+    sums = values if summed else stretch_sums(values.astype(np.uint64), which)
+    down = BASES[which].to(len(sums))[1]
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
+def gram_hashes(sums: np.ndarray, size: int) -> np.ndarray:
+    """``stretch_hashes`` (which = 0) of all stretches of one size, from ``stretch_sums``."""
+    down = BASES[0].to(len(sums))[1]
+    return mixed((sums[size:] - sums[:-size]) * down[: len(sums) - size] + np.uint64(size * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers; one to one."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)

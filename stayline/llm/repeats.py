@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import apart, null_to_empty, pick, slices, staged, stretch_hashes
+from stayline.llm.common import apart, gram_hashes, null_to_empty, pick, slices, staged, stretch_hashes, stretch_sums
 
-#: Bits of the table that says whose windows are to be compared: 16 a group, between these bounds.
+#: Bits of the table that says whose windows are to be compared: 64 a group, between these bounds.
 LEAST_BITS, MOST_BITS = 22, 28
+#: Bytes of text whose windows are looked at together; their arrays fit into a processor's cache.
+SLICE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -69,24 +71,31 @@ def groups_of(one: np.ndarray, two: np.ndarray, first: np.ndarray, window: int,
     empty = np.zeros(0, np.int64)
     if len(one) < window:
         return Groups(*[empty] * 7)
-    at = np.arange(len(one) - gram + 1)
-    hashes = stretch_hashes(one, at, at + gram)
+    sums = stretch_sums(one), stretch_sums(two, 1)
+    at = np.arange(len(one) - gram + 1, dtype=np.uint64)
+    hashes = gram_hashes(sums[0], gram)
     # Upper half of the hash, then the place: the smallest key names the leftmost smallest gram.
-    keys = (hashes & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    keys = (hashes & np.uint64(0xFFFFFFFF00000000)) | at
     anchors = (_smallest(keys, window - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     counts = np.maximum(0, np.diff(first) - window + 1)
-    text = np.repeat(np.arange(len(counts)), counts)
-    if not len(text):
+    # A group begins where the anchor changes, where the windows of a text begin, and behind its last one.
+    new = np.append(True, anchors[1:] != anchors[:-1])
+    begins = first[:-1][counts > 0]
+    behind = begins + counts[counts > 0]
+    new[begins] = True
+    new[behind[behind < len(new)]] = True
+    lo = np.flatnonzero(new)
+    n = np.diff(np.append(lo, len(new)))
+    text = np.searchsorted(first, lo, "right") - 1
+    inside = lo - first[text] < counts[np.minimum(text, len(counts) - 1)]
+    lo, n, text = lo[inside], n[inside], text[inside]
+    if not len(lo):
         return Groups(*[empty] * 7)
-    begins = np.cumsum(counts) - counts
-    places = np.arange(len(text)) - begins[text] + first[text]
-    anchor = anchors[places]
-    new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
-    lo, n, anchor, text = places[new], np.diff(np.append(new, len(text))), anchor[new], text[new]
+    anchor = anchors[lo]
     end = lo + n - 1 + window
     # The place of the anchor counts as well, so that equal stretches are equal window by window.
     offset = (anchor - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    spans = [(stretch_hashes(x, lo, end, k) ^ offset).view(np.int64) for k, x in enumerate((one, two))]
+    spans = [(stretch_hashes(sums[k], lo, end, k, summed=True) ^ offset).view(np.int64) for k in range(2)]
     return Groups(text, lo - first[text], lo, n, hashes[anchor].view(np.int64), *spans)
 
 
@@ -107,7 +116,7 @@ def all_groups(rows: DataFrame, kind: Kind) -> DataFrame:
     """One row per group of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches, limit=SLICE):
             g = groups_of(*kind.read(batch), kind.window, kind.gram)
             who = pa.array(g.text)
             columns = {"doc_id": batch.column("doc_id").take(who), "k1": batch.column("k1").take(who), "k2": batch.column("k2").take(who)}
@@ -146,7 +155,7 @@ def is_first() -> Column:
 def bit_table(groups: DataFrame) -> np.ndarray:
     """A table of bits, of a size between fixed bounds, that marks the given groups."""
     rows = groups.count()
-    bits = min(MOST_BITS, max(LEAST_BITS, (16 * rows).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (64 * rows).bit_length()))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,8 +164,8 @@ def bit_table(groups: DataFrame) -> np.ndarray:
 
     cells = groups.select("k1", "k2", "lo").mapInArrow(mark, "cell long, bit long").groupBy("cell").agg(F.bit_or("bit").alias("bits"))
     table = np.zeros(1 << (bits - 6), np.int64)
-    for row in cells.collect():
-        table[row[0]] = row[1]
+    marks = cells.toArrow()
+    table[marks.column("cell").to_numpy()] = marks.column("bits").to_numpy()
     return table
 
 

@@ -30,17 +30,36 @@ from pyspark.sql import functions as F
 from stayline.llm import repeats
 from stayline.llm.common import apart, buckets_for, slices, staged, stretch_hashes, text_bytes
 
-LENGTH, GRAM = 400, 100
+LENGTH = 400
 #: Stretches in a shard, and of one anchor in one shard.
 SHARD_STRETCHES = 2048
 #: Lanes in which common prefixes are measured side by side.
 LANES = 2048
 
 
-def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in order of their first ``depth`` symbols at least (Larsson and Sadakane)."""
+def _packed(symbols: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first symbols of each suffix as one number, and how many fit; after the end comes 0."""
+    bits = max(1, (int(symbols.max()) + 1).bit_length())
+    many = max(1, 63 // bits)
+    padded = np.append(symbols + 1, np.zeros(many - 1, np.int64))
+    key = np.zeros(len(symbols), np.int64)
+    for j in range(many):
+        key <<= bits
+        key |= padded[j : j + len(symbols)]
+    return key, many
+
+
+def suffix_array(symbols: np.ndarray, depth: int, past: np.ndarray | None = None) -> np.ndarray:
+    """Suffixes in order of their first ``depth`` symbols at least (Larsson and Sadakane).
+
+    ``past`` says how far behind the last suffix that is asked for each one lies (0: it is asked for itself).
+    Only those asked for come out; the others are ordered as far as these need them.
+    """
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
+    if not n:
+        return np.zeros(0, np.int64)
+    key, done = _packed(symbols)
+    order = np.argsort(key)
     rank = np.empty(n, np.int64)
 
     def number(at: np.ndarray, new: np.ndarray) -> None:
@@ -49,11 +68,16 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
         last = np.append(starts[1:], len(at)) - 1
         rank[order[at]] = np.repeat(at[last], np.diff(np.append(starts, len(at))))
 
+    in_order = key[order]
     at = np.arange(n)
-    number(at, np.append(True, symbols[order][1:] != symbols[order][:-1])[:n])
-    done = 1
-    while done < depth:
-        # Places in groups of more than one.
+    number(at, np.append(True, in_order[1:] != in_order[:-1]))
+    goal = done
+    while goal < depth:
+        goal *= 2
+    while done < goal:
+        # Places in groups of more than one that later rounds look at.
+        if past is not None:
+            at = at[past[order[at]] <= goal - 2 * done]
         group = rank[order[at]]
         same = np.zeros(len(at), bool)
         same[1:] = group[1:] == group[:-1]
@@ -63,61 +87,73 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
             break
         suffix = order[at]
         follows = suffix + done
-        key = np.where(follows < n, rank[np.minimum(follows, n - 1)], -1)
-        by = np.lexsort((key, group))
+        # Group and rank of what follows, as one number: both are below n.
+        key = group * (n + 1) + np.where(follows < n, rank[np.minimum(follows, n - 1)] + 1, 0)
+        by = np.argsort(key)
         order[at] = suffix[by]
-        group, key = group[by], key[by]
-        number(at, np.append(True, (group[1:] != group[:-1]) | (key[1:] != key[:-1])))
+        key = key[by]
+        number(at, np.append(True, key[1:] != key[:-1]))
         done *= 2
-    return order
+    return order if past is None else order[past[order] <= 0]
 
 
-def common_prefixes(symbols: np.ndarray, order: np.ndarray, most: int, lanes: int = LANES) -> np.ndarray:
+def common_prefixes(symbols: np.ndarray, order: np.ndarray, most: int, lanes: int = LANES, first: np.ndarray | None = None) -> np.ndarray:
     """For each place in the order, the symbols shared with the place before, up to ``most`` (Kasai).
 
-    The text is cut into lanes that are walked side by side; in each, a suffix shares at least one symbol
-    less than the suffix before it did.
+    The text is cut into lanes, or at ``first``, that are walked side by side; in each, a suffix shares at
+    least one symbol less than the suffix before it did, if the neighbour's next suffix is in the order as well.
     """
     n = len(symbols)
-    out = np.zeros(n, np.int64)
-    if n < 2:
+    out = np.zeros(len(order), np.int64)
+    if len(order) < 2:
         return out
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    size = -(-n // min(lanes, n))
-    at = np.arange(0, n, size)
-    end = np.minimum(at + size, n)
+    place = np.full(n + 1, -1)
+    place[order] = np.arange(len(order))
+    if first is None:
+        size = -(-n // min(lanes, n))
+        first = np.arange(0, n, size)
+    at = first.copy()
+    end = np.append(first[1:], n)
     shared = np.zeros(len(at), np.int64)
-    padded = np.append(symbols, [-1])
+    padded = np.append(symbols, -1)
     while len(at):
-        before = order[place[at] - 1]
+        mine = place[at]
+        before = order[mine - 1]
         x, y = at + shared, before + shared
-        more = (place[at] > 0) & (shared < most) & (x < n) & (y < n)
+        more = (mine > 0) & (shared < most) & (x < n) & (y < n)
         more &= padded[np.minimum(x, n)] == padded[np.minimum(y, n)]
-        shared[more] += 1
-        stop = ~more
-        out[place[at[stop]]] = np.where(place[at[stop]] > 0, shared[stop], 0)
-        shared[stop] = np.maximum(shared[stop] - 1, 0) * (place[at[stop]] > 0)
-        at[stop] += 1
-        left = at < end
-        if not left.all():
-            at, end, shared = at[left], end[left], shared[left]
+        shared += more
+        stop = np.flatnonzero(~more)
+        if len(stop):
+            first_of_all = mine[stop] <= 0
+            there = mine[stop] >= 0
+            out[mine[stop][there]] = np.where(first_of_all, 0, shared[stop])[there]
+            carried = ~first_of_all & (place[before[stop] + 1] >= 0)
+            shared[stop] = np.where(carried, np.maximum(shared[stop] - 1, 0), 0)
+            at[stop] += 1
+            left = (at < end) & (place[np.minimum(at, n)] >= 0)
+            if not left.all():
+                at, end, shared = at[left], end[left], shared[left]
     return out
 
 
 def repeated_in(stretches: list[bytes], length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each stretch, which of its strings occur again in the shard; and which are the first of their kind in order."""
-    codes = [np.append(np.frombuffer(x, np.uint8).astype(np.int64), 256 + k) for k, x in enumerate(stretches)]
-    symbols = np.concatenate(codes)
-    order = suffix_array(symbols, length)
-    shared = common_prefixes(symbols, order, length) >= length
+    sizes = np.array([len(x) + 1 for x in stretches])
+    ends = np.cumsum(sizes)
+    symbols = np.append(np.frombuffer(b"\0".join(stretches), np.uint8), 0).astype(np.int64)
+    # Each stretch ends with a symbol of its own, so no two suffixes are equal.
+    symbols[ends - 1] = 256 + np.arange(len(stretches))
+    # Strings start where ``length`` bytes are left; suffixes behind are ordered only as far as those need them.
+    past = np.maximum(0, np.arange(len(symbols)) - np.repeat(ends - 1 - length, sizes))
+    order = suffix_array(symbols, int(sizes.max()), past)
+    shared = common_prefixes(symbols, order, length, first=ends - sizes) >= length
     again = np.zeros(len(symbols), bool)
     again[order[shared]] = True
     again[order[np.flatnonzero(shared) - 1]] = True
-    leads = np.ones(len(symbols), bool)
-    leads[order[shared]] = False
-    ends = np.cumsum([len(c) for c in codes])
-    strings = [(e - len(c), e - length) for c, e in zip(codes, ends, strict=True)]
+    leads = np.zeros(len(symbols), bool)
+    leads[order[~shared]] = True
+    strings = list(zip(ends - sizes, ends - length, strict=True))
     return [again[s:e] for s, e in strings], [leads[s:e] for s, e in strings]
 
 
@@ -131,7 +167,7 @@ def _open_stretches(rows: DataFrame, kind: repeats.Kind, groups: DataFrame) -> D
     table = rows.sparkSession.sparkContext.broadcast(repeats.bit_table(groups))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches, limit=repeats.SLICE):
             data, _, first = _read(batch)
             g = repeats.groups_of(data, data, first, kind.window, kind.gram)
             k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
@@ -148,7 +184,7 @@ def _open_stretches(rows: DataFrame, kind: repeats.Kind, groups: DataFrame) -> D
 
 def removals(rows: DataFrame, length: int = LENGTH, shard_stretches: int = SHARD_STRETCHES) -> DataFrame:
     """k1, k2, start and end (bytes) of what is to be removed; ``rows`` as ``repeats.sources`` gives them."""
-    kind = repeats.Kind(length, max(1, length // 4), _read)
+    kind = repeats.Kind(length, max(1, length // 2), _read)
     groups = repeats.with_spans(repeats.repeated_groups(rows, kind))
     whole = groups.filter("c > 1").select("k1", "k2", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + length).alias("end"))
     stretches = _open_stretches(rows, kind, groups.filter(F.col("mixed") & repeats.is_first()))
@@ -160,40 +196,41 @@ def removals(rows: DataFrame, length: int = LENGTH, shard_stretches: int = SHARD
         # A split anchor has shards of its own.
         .withColumn("shard", F.when(F.col("parts") > 1, F.xxhash64("anchor", "part")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))))
     )
-    # A string that the shard knows to be repeated has repeated = true; the others of split shards have hashes.
-    schema = "k1 long, k2 long, start long, repeated boolean, h1 long, h2 long, shard long"
+    # Runs of strings that the shard knows to be repeated, without hashes; strings of split shards, with them.
+    schema = "k1 long, k2 long, start long, end long, h1 long, h2 long, shard long"
 
     def sort(table: pa.Table) -> pa.Table:
         parts = [x.as_py() for x in table.column("bytes")]
         split = table.column("parts")[0].as_py() > 1
         shard = table.column("shard")[0].as_py()
-        who, start, repeated, hashes = [], [], [], ([], [])
+        low = table.column("lo").to_numpy()
+        who, start, end, hashes = [], [], [], ([], [])
+
+        def add(k: int, starts: np.ndarray, ends: np.ndarray, *of: pa.Array) -> None:
+            who.append(np.full(len(starts), k))
+            start.append(low[k] + starts)
+            end.append(low[k] + ends)
+            for i in range(2):
+                hashes[i].append(of[i] if of else pa.nulls(len(starts), pa.int64()))
+
         for k, (again, leads) in enumerate(zip(*repeated_in(parts, length), strict=True)):
-            out = np.flatnonzero(again | leads if split else again)
-            who.append(np.full(len(out), k))
-            start.append(out)
-            repeated.append(again[out])
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], again.view(np.int8), [0]])))
+            add(k, edges[::2], edges[1::2] - 1 + length)
             if split:
-                values = np.frombuffer(parts[k], np.uint8)
-                for i in range(2):
-                    # Only the first of equal strings speaks for the shard.
-                    of = stretch_hashes(values, out, out + length, i).view(np.int64)
-                    hashes[i].append(pa.array(of, mask=~leads[out]))
-            else:
-                for i in range(2):
-                    hashes[i].append(pa.nulls(len(out), pa.int64()))
-        who, start = pa.array(np.concatenate(who)), np.concatenate(start)
-        low = table.column("lo").take(who).to_numpy()
+                # Only the first of equal strings speaks for the shard.
+                values, out = np.frombuffer(parts[k], np.uint8), np.flatnonzero(leads)
+                add(k, out, out + length, *[pa.array(stretch_hashes(values, out, out + length, i).view(np.int64)) for i in range(2)])
+        who = pa.array(np.concatenate(who))
         columns = {
-            "k1": table.column("k1").take(who), "k2": table.column("k2").take(who), "start": pa.array(low + start),
-            "repeated": pa.array(np.concatenate(repeated), pa.bool_()), "h1": pa.concat_arrays(hashes[0]), "h2": pa.concat_arrays(hashes[1]),
-            "shard": pa.array(np.full(len(who), shard)),
+            "k1": table.column("k1").take(who), "k2": table.column("k2").take(who),
+            "start": pa.array(np.concatenate(start)), "end": pa.array(np.concatenate(end)),
+            "h1": pa.concat_arrays(hashes[0]), "h2": pa.concat_arrays(hashes[1]), "shard": pa.array(np.full(len(who), shard)),
         }
         return pa.table(columns)
 
     needed = dealt.select("k1", "k2", "lo", "bytes", "parts", "shard")
     sorted_ = staged(needed.groupBy("shard").applyInArrow(sort, schema))
-    known = sorted_.filter("repeated").select("k1", "k2", "start")
+    known = sorted_.filter("h1 is null").select("k1", "k2", "start", "end")
     spoken = sorted_.filter("h1 is not null")
     ranges = buckets_for(spoken.count(), 1 << 18, 1)
 
@@ -227,9 +264,8 @@ def removals(rows: DataFrame, length: int = LENGTH, shard_stretches: int = SHARD
         .applyInArrow(merge, "h1 long, h2 long")
         .distinct()
     )
-    crossed = spoken.join(apart(between), ["h1", "h2"]).select("k1", "k2", "start")
-    strings = known.unionByName(crossed).select("k1", "k2", "start", (F.col("start") + length).alias("end"))
-    return whole.unionByName(strings)
+    crossed = spoken.join(apart(between), ["h1", "h2"]).select("k1", "k2", "start", "end")
+    return whole.unionByName(known).unionByName(crossed)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_stretches: int = SHARD_STRETCHES) -> DataFrame:
