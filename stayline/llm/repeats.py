@@ -43,7 +43,7 @@ class Kind:
 
 @dataclass
 class Groups:
-    """Groups of windows of many texts: text, first window (in the text and overall), windows, hashes."""
+    """Groups of windows of many texts: text, first window (in the text and overall), windows, hashes, where in the first window the anchor is."""
 
     text: np.ndarray
     lo: np.ndarray
@@ -52,6 +52,7 @@ class Groups:
     anchor: np.ndarray
     span1: np.ndarray
     span2: np.ndarray
+    place: np.ndarray
 
 
 def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
@@ -70,7 +71,7 @@ def groups_of(one: np.ndarray, two: np.ndarray, first: np.ndarray, window: int,
     """All groups of all texts."""
     empty = np.zeros(0, np.int64)
     if len(one) < window:
-        return Groups(*[empty] * 7)
+        return Groups(*[empty] * 8)
     sums = stretch_sums(one), stretch_sums(two, 1)
     at = np.arange(len(one) - gram + 1, dtype=np.uint64)
     hashes = gram_hashes(sums[0], gram)
@@ -90,13 +91,13 @@ def groups_of(one: np.ndarray, two: np.ndarray, first: np.ndarray, window: int,
     inside = lo - first[text] < counts[np.minimum(text, len(counts) - 1)]
     lo, n, text = lo[inside], n[inside], text[inside]
     if not len(lo):
-        return Groups(*[empty] * 7)
+        return Groups(*[empty] * 8)
     anchor = anchors[lo]
     end = lo + n - 1 + window
     # The place of the anchor counts as well, so that equal stretches are equal window by window.
     offset = (anchor - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     spans = [(stretch_hashes(sums[k], lo, end, k, summed=True) ^ offset).view(np.int64) for k in range(2)]
-    return Groups(text, lo - first[text], lo, n, hashes[anchor].view(np.int64), *spans)
+    return Groups(text, lo - first[text], lo, n, hashes[anchor].view(np.int64), *spans, anchor - lo)
 
 
 def sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -127,9 +128,8 @@ def all_groups(rows: DataFrame, kind: Kind) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {id_type}, k1 long, k2 long, lo long, n long, anchor long, span1 long, span2 long")
 
 
-def repeated_groups(rows: DataFrame, kind: Kind) -> DataFrame:
+def repeated(groups: DataFrame) -> DataFrame:
     """Groups whose anchor occurs again, with ``mixed``: whether it does so with different stretches."""
-    groups = all_groups(rows, kind)
     again = (
         groups.select("anchor", "span1")
         .groupBy("anchor")
@@ -137,7 +137,11 @@ def repeated_groups(rows: DataFrame, kind: Kind) -> DataFrame:
         .filter("c > 1")
         .drop("c")
     )
-    return staged(groups.join(apart(again), "anchor"))
+    return groups.join(apart(again), "anchor")
+
+
+def repeated_groups(rows: DataFrame, kind: Kind) -> DataFrame:
+    return staged(repeated(all_groups(rows, kind)))
 
 
 def with_spans(groups: DataFrame) -> DataFrame:

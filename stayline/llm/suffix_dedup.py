@@ -4,11 +4,13 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it also starts any
 same document. Strings never cross documents and are judged on the input.
 
 Stretches of text that can't hold a repeated string are left out first, and of equal stretches one stays
-(see ``repeats``, over bytes). The rest is dealt to shards by anchor, so equal strings meet in one shard.
+(see ``repeats``, over bytes); the rest is cut into parts that share most of their bytes, the core, and what
+can't repeat or is equal as a whole is settled once more. What is left is dealt to shards by core, so equal
+strings meet in one shard.
 A shard sorts its suffixes by Larsson and Sadakane's refinement (only groups that aren't sorted yet are
 sorted again, by the rank of what follows, twice as far each time), measures common prefixes after Kasai,
-and marks strings that share ``LENGTH`` bytes with a neighbour. An anchor with more than ``SHARD_STRETCHES``
-stretches is split over several shards; such shards also give out their distinct strings as sorted hashes,
+and marks strings that share ``LENGTH`` bytes with a neighbour. A core with more than ``SHARD_STRETCHES``
+different stretches is split over several shards; such shards also give out their distinct strings as sorted hashes,
 which are merged by range of hashes with binary search.
 
 Defined results: null texts are empty; an empty text keeps nothing. Rows that are there twice remove each
@@ -28,9 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm import repeats
-from stayline.llm.common import apart, buckets_for, slices, staged, stretch_hashes, text_bytes
+from stayline.llm.common import apart, buckets_for, slices, staged, stretch_hashes, stretch_sums, text_bytes
 
 LENGTH = 400
+#: Windows of an open stretch are told apart by cores that leave out this share of their bytes.
+PARTS = 6
 #: Stretches in a shard, and of one anchor in one shard.
 SHARD_STRETCHES = 2048
 #: Lanes in which common prefixes are measured side by side.
@@ -162,8 +166,34 @@ def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, data, starts
 
 
+def _cut(g: repeats.Groups, found: np.ndarray, data: np.ndarray, length: int) -> dict[str, np.ndarray]:
+    """Cut groups into parts whose windows share a core: all but ``length // PARTS`` of their bytes.
+
+    Equal windows hold their anchor at one place, so they get into parts with equal cores.
+    """
+    wide = max(1, length // PARTS)
+    at, n, place = g.at[found], g.n[found], g.place[found]
+    slices_of = place // wide - (place - n + 1) // wide + 1
+    of = np.repeat(np.arange(len(found)), slices_of)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(slices_of) - slices_of, slices_of)
+    at, n, place = at[of], n[of], place[of]
+    j = place // wide - step
+    low = np.maximum(0, place - (wide * (j + 1) - 1))
+    high = np.minimum(n - 1, place - wide * j)
+    sums = stretch_sums(data), stretch_sums(data, 1)
+    core = at + place - wide * j
+    anchor = stretch_hashes(sums[0], core, core + length - wide + 1, summed=True) + j.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    begin, end = at + low, at + high + length
+    offset = (place - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    spans = [(stretch_hashes(sums[k], begin, end, k, summed=True) ^ offset).view(np.int64) for k in range(2)]
+    return {
+        "who": g.text[found][of], "lo": g.lo[found][of] + low, "n": high - low + 1, "anchor": anchor.view(np.int64) ^ g.anchor[found][of],
+        "span1": spans[0], "span2": spans[1], "begin": begin, "end": end,
+    }
+
+
 def _open_stretches(rows: DataFrame, kind: repeats.Kind, groups: DataFrame) -> DataFrame:
-    """k1, k2, lo, anchor and the bytes of the representatives whose windows have to be compared."""
+    """Parts of the given groups, as groups of their own, with their bytes."""
     table = rows.sparkSession.sparkContext.broadcast(repeats.bit_table(groups))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,22 +202,28 @@ def _open_stretches(rows: DataFrame, kind: repeats.Kind, groups: DataFrame) -> D
             g = repeats.groups_of(data, data, first, kind.window, kind.gram)
             k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
             found = np.flatnonzero(repeats.marked(table.value, k1[g.text], k2[g.text], g.lo)) if len(g.text) else g.text
-            parts = [data[a : a + n - 1 + kind.window].tobytes() for a, n in zip(g.at[found], g.n[found], strict=True)]
-            who = g.text[found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k1[who]), pa.array(k2[who]), pa.array(g.lo[found]), pa.array(g.anchor[found]), pa.array(parts, pa.binary())],
-                ["k1", "k2", "lo", "anchor", "bytes"],
-            )
+            if not len(found):
+                continue
+            cut = _cut(g, found, data, kind.window)
+            who = pa.array(cut["who"])
+            columns = {c: batch.column(c).take(who) for c in ("doc_id", "k1", "k2")}
+            columns |= {c: pa.array(cut[c], pa.int64()) for c in ("lo", "n", "anchor", "span1", "span2")}
+            columns["bytes"] = pa.array([data[a:b].tobytes() for a, b in zip(cut["begin"], cut["end"], strict=True)], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return staged(rows.mapInArrow(run, "k1 long, k2 long, lo long, anchor long, bytes binary"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return staged(rows.mapInArrow(run, f"doc_id {id_type}, k1 long, k2 long, lo long, n long, anchor long, span1 long, span2 long, bytes binary"))
 
 
 def removals(rows: DataFrame, length: int = LENGTH, shard_stretches: int = SHARD_STRETCHES) -> DataFrame:
     """k1, k2, start and end (bytes) of what is to be removed; ``rows`` as ``repeats.sources`` gives them."""
     kind = repeats.Kind(length, max(1, length // 2), _read)
     groups = repeats.with_spans(repeats.repeated_groups(rows, kind))
-    whole = groups.filter("c > 1").select("k1", "k2", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + length).alias("end"))
-    stretches = _open_stretches(rows, kind, groups.filter(F.col("mixed") & repeats.is_first()))
+    parts = _open_stretches(rows, kind, groups.filter(F.col("mixed") & repeats.is_first()))
+    part_groups = staged(repeats.with_spans(repeats.repeated(parts.drop("bytes"))))
+    whole = [x.filter("c > 1").select("k1", "k2", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + length).alias("end")) for x in (groups, part_groups)]
+    compared = part_groups.filter(F.col("mixed") & repeats.is_first()).select("k1", "k2", "lo")
+    stretches = staged(parts.join(compared, ["k1", "k2", "lo"], "left_semi").select("k1", "k2", "lo", "anchor", "bytes"))
     shards = buckets_for(stretches.count(), shard_stretches // 2)
     sizes = stretches.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / shard_stretches).alias("parts"))
     dealt = (
@@ -265,7 +301,7 @@ def removals(rows: DataFrame, length: int = LENGTH, shard_stretches: int = SHARD
         .distinct()
     )
     crossed = spoken.join(apart(between), ["h1", "h2"]).select("k1", "k2", "start", "end")
-    return whole.unionByName(known).unionByName(crossed)
+    return whole[0].unionByName(whole[1]).unionByName(known).unionByName(crossed)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_stretches: int = SHARD_STRETCHES) -> DataFrame:
