@@ -19,10 +19,9 @@ from stayline.session import ensure_checkpoint_dir
 from stayline.sources.schemas import feature_names
 from stayline.sources.warehouse import REGIONS
 
-# Settings of the registered fits; the full grids are M.FOREST_GRID and M.BOOST_GRID.
-FOREST = {"numTrees": 20, "maxDepth": 5}
-BOOSTED = {"maxIter": 10, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8}
-TRIED = {"numTrees": [10, 20], "maxDepth": [4]}
+# Settings of the single fits: points of M.FOREST_GRID and M.BOOST_GRID with most trees and depth. i9 searches both grids.
+FOREST = {"numTrees": 200, "maxDepth": 30, "minInstancesPerNode": 1}
+BOOSTED = {"maxIter": 200, "maxDepth": 7, "stepSize": 0.1, "subsamplingRate": 0.8}
 
 
 def prepared(w) -> M.Prepared:
@@ -146,15 +145,30 @@ def _(w):
 @check("i9_grid_search")
 def _(w):
     ready = prepared(w)
-    train = M.stratified_folds(M.with_balanced_weight(ready.train))
-    return M.grid_search(M.forest(), TRIED, train).trials
+    parts = []
+    for name, estimator, grid, train in (
+        ("Random Forest", M.forest(), M.FOREST_GRID, M.with_balanced_weight(ready.train)),
+        ("Boosted Trees", M.boosted(), M.BOOST_GRID, M.with_positive_weight(ready.train, M.positive_weight(ready.train))),
+    ):
+        trials = M.grid_search(estimator, grid, M.stratified_folds(train)).trials
+        parts.append(trials.select(F.lit(name).alias("model"), "*"))
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 @check("i10_cross_validation")
 def _(w):
     ready = prepared(w)
-    train = M.stratified_folds(M.with_balanced_weight(ready.train))
-    return M.cv_summary(M.fold_metrics(M.out_of_fold(M.logistic(ready.n_train), train)))
+    balanced = M.with_balanced_weight(ready.train)
+    positive = M.with_positive_weight(ready.train, M.positive_weight(ready.train))
+    parts = []
+    for name, estimator, train in (
+        ("Logistic Regression", M.logistic(ready.n_train), balanced),
+        ("Random Forest", M.forest(**FOREST), balanced),
+        ("Boosted Trees", M.boosted(**BOOSTED), positive),
+    ):
+        summary = M.cv_summary(M.fold_metrics(M.out_of_fold(estimator, M.stratified_folds(train))))
+        parts.append(summary.select(F.lit(name).alias("model"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @check("i11_predict_everyone")
