@@ -5,13 +5,15 @@ credential word, a colon or equals sign and a value of 6 characters or more; ``a
 runs of 24 or more.
 
 The field tags tokens as O (outside), B (begins a secret) or I (inside). A token is a run of
-``[A-Za-z0-9+/_.=-]`` or one other character. Only tokens that look like material for a secret (8
-characters or more, one a digit) may be B; those and what touches them without a space may be I; all
-others are O by rule. Such a token dictionary splits a text into short chains, so that exact Viterbi
-decoding costs nothing for plain prose. Features: shape, neighbouring words, and figures of the whole text.
+``[A-Za-z0-9+/_.=-]`` or one other character, and every token may be any of the three: length and digits are
+features, not conditions. The tokens of many texts are one long sequence with an outside mark between texts. It
+is cut into ``STRIDE`` tokens; exact Viterbi runs over all cuts at once, for each tag before a cut, and a
+pass over the cuts joins them. Features: shape, neighbouring words, and figures of the whole text.
 
-It is fitted on the base spans of a bounded sample of documents (``SAMPLE``: the smallest hashes of ids).
-Each chain is fitted twice, once without the words next to it, so that shape counts by itself.
+It is fitted on the base spans of a bounded sample of documents (``SAMPLE``: the smallest hashes of ids), in
+windows of about ``WINDOW`` tokens: up to ``WINDOWS`` with base spans and as many without, evenly spread; each
+stands for those left out by its weight. Each is fitted twice, once without the words next to its tokens, so
+that shape counts by itself.
 
 Defined results: a null or empty text has no spans. Rows are scored one by one, so repeated rows and ties
 get equal results, null ids are kept, and an empty table gives an empty result. With no base span in the
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import pick, slices, text_bytes
+from stayline.llm.common import letters, pick, slices, stretch_hashes, text_bytes
 
 # The base patterns. "Letters in either case" means A-Z and a-z only.
 KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
@@ -52,20 +54,21 @@ KINDS = ("assign", "access", "hex", "crf")
 SAMPLE = 3000
 #: Size of the hashed feature space, passes over the sample, learning rate, weight of the penalty.
 FEATURES, EPOCHS, RATE, PENALTY = 1 << 14, 60, 0.1, 1e-4
+#: Tokens of a training window, windows of each sort at most, tokens that are decoded between two joins.
+WINDOW, WINDOWS, STRIDE = 32, 1500, 256
+#: Bytes of text that are tokenized at once; tokens whose features are kept.
+TOGETHER, KNOWN = 1 << 20, 100_000
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]+|[^\sA-Za-z0-9+/_.=-]")
 O, B, I = range(3)  # noqa: E741
 LOW = -1e9
 #: Transitions that exist: nothing is inside that hasn't begun.
 ALLOWED = np.array([[0, 0, LOW], [0, 0, 0], [0, 0, 0]])
 
 _OPEN_LENGTH = 8
-_IS_TOKEN = np.zeros(256, bool)
-_IS_TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
 _IS_HEX = np.zeros(256, bool)
 _IS_HEX[[ord(c) for c in "0123456789abcdef"]] = True
-_IS_DIGIT = np.zeros(256, bool)
-_IS_DIGIT[[ord(c) for c in "0123456789"]] = True
+_IS_TOKEN = letters(lambda c: c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+_IS_SPACE = letters(str.isspace)
 
 Span = tuple[int, int, str]
 
@@ -91,62 +94,91 @@ def written(spans: list[Span]) -> str:
 
 
 class Chain:
-    """Neighbouring tokens that may be part of a secret, and what they look like."""
-
-    __slots__ = ("ends", "may_begin", "seen", "starts")
-
-    def __init__(self):
-        self.starts, self.ends, self.may_begin, self.seen = [], [], [], []
+    """The tokens of texts, one after the other, and the numbers of their features (``FEATURES``: none)."""
+
+    def __init__(self, texts: list[str]):
+        joined = "\n".join(texts)
+        code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = np.minimum(code, len(_IS_TOKEN) - 1)
+        run = np.concatenate([[False], _IS_TOKEN[kind], [False]])
+        single = ~run[1:-1] & ~_IS_SPACE[kind]
+        self.starts = np.flatnonzero(run[1:-1] & ~run[:-2] | single)
+        self.ends = np.flatnonzero(run[1:-1] & ~run[2:] | single) + 1
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        self.text_starts = np.concatenate([[0], np.cumsum(sizes)])
+        #: Which tokens belong to text k: first[k] to first[k + 1].
+        self.first = np.searchsorted(self.starts, self.text_starts)
+        self.owner = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        hashes = stretch_hashes(code, self.starts, self.ends)
+        _, at, self.which = np.unique(hashes, return_index=True, return_inverse=True)
+        self.words = [joined[s:e] for s, e in zip(self.starts[at].tolist(), self.ends[at].tolist(), strict=True)]
+        digits = np.concatenate([[0], np.cumsum((code >= 48) & (code <= 57))])
+        has = (self.ends - self.starts >= _OPEN_LENGTH) & (digits[self.ends] > digits[self.starts])
+        opens = np.bincount(self.owner, has, len(texts)).astype(int)
+        inside = digits[self.text_starts[1:] - 1] - digits[self.text_starts[:-1]]
+        self.of_file = [
+            (f"open{min(int(n).bit_length(), 6)}", f"digits{min(10, int(20 * d / max(1, size)))}", f"long{min(int(size).bit_length() // 2, 8)}")
+            for n, d, size in zip(opens, inside, sizes - 1, strict=True)
+        ]
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def numbers(self, known: Numbers) -> np.ndarray:
+        """Feature numbers, (token, ``COLUMNS``): by itself, of the text, touching; then the words around."""
+        n = len(self)
+        out = np.full((n, COLUMNS), FEATURES, np.uint16)
+        if not n:
+            return out
+        known.bound()
+        of_word = np.array([known[w] for w in self.words], np.uint16)
+        out[:, :10] = of_word[self.which, :10]
+        out[:, 10:13] = np.array([_numbers(x) for x in self.of_file], np.uint16)[self.owner]
+        touch = np.concatenate([[False], self.starts[1:] == self.ends[:-1]])
+        out[:, 13] = np.array(_numbers(("touchFalse", "touchTrue")), np.uint16)[touch.astype(int)]
+        # The words around, without what stands between a name and its value.
+        place, first = np.arange(n), self.first[self.owner]
+        between = np.array([w in ("=", ":", '"', "'") for w in self.words])[self.which]
+        before = np.concatenate([[-1], np.maximum.accumulate(np.where(between, -1, place))])
+        near = place
+        for column, of in ((14, 10), (15, 11)):
+            near = before[np.maximum(near, 0)]
+            near = np.where((near >= first) & (place - near < 8), near, -1)
+            some = near >= 0
+            out[some, column] = of_word[self.which[near[some]], of]
+            near = np.where(some, near, 0)
+        low = [w.lower() for w in self.words]
+        sign = np.array([ord(x) if len(x) == 1 else 0 for x in low])[self.which]
+        key = np.zeros(n, np.int64)
+        for back in (3, 2, 1):
+            there = np.flatnonzero(place - back >= first)
+            value = np.zeros(n, np.int64)
+            value[there] = sign[there - back]
+            key = key << 21 | value
+        keys, each = np.unique(key, return_inverse=True)
+        signs = ["".join(chr(c) for c in (int(k) >> 42, int(k) >> 21 & 0x1FFFFF, int(k) & 0x1FFFFF) if c) for k in keys]
+        out[:, 16] = np.array(_numbers(tuple(f"signs{x}" for x in signs)), np.uint16)[each]
+        out[:, 17] = _numbers(("next^",))[0]
+        more = np.flatnonzero(place + 1 < self.first[self.owner + 1])
+        out[more, 17] = of_word[self.which[more + 1], 12]
+        return out
 
 
-def _is_open(token: str) -> bool:
-    return len(token) >= _OPEN_LENGTH and any("0" <= c <= "9" for c in token)
+#: Feature numbers per token, and how many of them are those of its shape, its text and its touching.
+COLUMNS, PLAIN = 18, 14
 
 
 def chains(text: str) -> list[Chain]:
-    """The chains of a text. A token belongs to one if it is open, or touches the token before it there."""
-    found: list[Chain] = []
-    tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
-    opens = [e - s >= _OPEN_LENGTH and _is_open(text[s:e]) for s, e in tokens]
-    if not any(opens):
-        return found
-    count = sum(opens)
-    digits = sum(len(x) for x in re.findall("[0-9]+", text))
-    of_file = (f"open{min(count.bit_length(), 6)}", f"digits{min(10, int(20 * digits / len(text)))}", f"long{min(len(text).bit_length() // 2, 8)}")
-    word = lambda k: text[slice(*tokens[k])].lower() if 0 <= k < len(tokens) else "^"
-    last = -2
-    for k, (s, e) in enumerate(tokens):
-        touches = last == k - 1 and tokens[k - 1][1] == s
-        if not (opens[k] or touches):
-            continue
-        if last != k - 1:
-            found.append(Chain())
-        chain, last = found[-1], k
-        chain.starts.append(s)
-        chain.ends.append(e)
-        chain.may_begin.append(opens[k])
-        # The words around, without what stands between a name and its value.
-        near, at = [], k - 1
-        while at >= 0 and len(near) < 2 and k - at < 8:
-            if word(at) not in ("=", ":", '"', "'"):
-                near.append(word(at))
-            at -= 1
-        signs = "".join(word(j) for j in range(max(0, k - 3), k) if len(word(j)) == 1)
-        chain.seen.append(
-            (
-                shape(text[s:e]) + of_file + (f"touch{touches}",),
-                tuple(f"near{i}{w}" for i, w in enumerate(near)) + (f"signs{signs}", f"next{word(k + 1)}"),
-            )
-        )
-    return found
+    """The tokens of a text as one chain, if it has any."""
+    chain = Chain([text])
+    return [chain] if len(chain) else []
 
 
 def shape(token: str) -> tuple[str, ...]:
     """What a token looks like by itself."""
     n = len(token)
     kinds = Counter("d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in token)
-    counts = Counter(token)
-    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    entropy = -sum(c / n * math.log2(c / n) for c in sorted(Counter(token).values()))
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False))
     runs = re.sub(r"(.)\1+", r"\1", "".join("9" if c.isdigit() else "A" if c.isupper() else "a" if c.islower() else c for c in token))
     return (
@@ -164,7 +196,91 @@ def shape(token: str) -> tuple[str, ...]:
 
 
 def _numbers(names: tuple[str, ...]) -> list[int]:
-    return [zlib.crc32(x.encode()) % FEATURES for x in names]
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in names]
+
+
+def viterbi(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The best tags of one sequence (token, 3); what lies before and after it is outside."""
+    n = len(scores)
+    cuts = -(-n // STRIDE)
+    padded = np.full((cuts * STRIDE, 3), LOW)
+    padded[:n], padded[n:, O] = scores, 0
+    steps = np.ascontiguousarray(padded.reshape(cuts, STRIDE, 3).transpose(1, 2, 0))
+    # best[before][now], for each cut; back[t][before][now] is the tag one earlier.
+    best = np.empty((3, 3, cuts))
+    best[:] = moves[:, :, None] + steps[0][None]
+    back = np.empty((STRIDE, 3, 3, cuts), np.int8)
+    for t in range(1, STRIDE):
+        a, b, c = (best[:, k, None] + moves[k][None, :, None] for k in (O, B, I))
+        top = np.maximum(a, b)
+        back[t] = np.where(c > top, 2, b > a)
+        best = np.maximum(top, c) + steps[t][None]
+    # Join the cuts: tags at their ends.
+    now, came = [0.0, LOW, LOW], []
+    for whole in best.transpose(2, 0, 1).tolist():
+        paths = [[now[i] + whole[i][j] for i in range(3)] for j in range(3)]
+        now = [max(p) for p in paths]
+        came.append([p.index(m) for p, m in zip(paths, now, strict=True)])
+        top = max(now)
+        now = [x - top for x in now]
+    ends = [now[k] + moves[k, O] for k in range(3)]
+    end = ends.index(max(ends))
+    last, before = np.empty(cuts, int), np.empty(cuts, int)
+    for k in range(cuts - 1, -1, -1):
+        last[k], before[k] = end, came[k][end]
+        end = came[k][end]
+    tags, every = np.empty((STRIDE, cuts), np.int8), np.arange(cuts)
+    tags[-1] = last
+    for t in range(STRIDE - 1, 0, -1):
+        tags[t - 1] = back[t, before, tags[t], every]
+    return tags.T.ravel()[:n]
+
+
+_CLASSES = str.maketrans({**dict.fromkeys("0123456789", "9"), **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A"), **dict.fromkeys("abcdefghijklmnopqrstuvwxyz", "a")})
+_HEX_CHARS = frozenset("0123456789abcdefABCDEF")
+#: What a shape rests on: all but entropy, hex digits and the first letters follow from the classes of the characters.
+_ENTROPY, _HEX, _STARTS = 4, 6, 7
+_AROUND = tuple(zlib.crc32(x) for x in (b"near0", b"near1", b"next"))
+
+
+class Numbers(dict):
+    """Token to the feature numbers of its shape, then those as near0, near1 and next word; as ``shape`` gives them."""
+
+    def __init__(self):
+        super().__init__()
+        self.classes: dict[str, list[int]] = {}
+        self.entropies: dict[tuple[int, ...], int] = {}
+
+    def __missing__(self, token: str) -> list[int]:
+        if token.isascii():
+            classes = token.translate(_CLASSES)
+            out = self.classes.get(classes)
+            if out is None:
+                out = self.classes[classes] = _numbers(shape(classes))
+            out = out.copy()
+            letters_ = set(token)
+            counts = tuple(sorted(map(token.count, letters_)))
+            entropy = self.entropies.get(counts)
+            if entropy is None:
+                entropy = self.entropies[counts] = _numbers(shape(token))[_ENTROPY]
+            out[_ENTROPY] = entropy
+            out[_HEX] = _IS_OF_HEX[letters_ <= _HEX_CHARS]
+            out[_STARTS] = zlib.crc32(token[:4].encode(), _STARTS_CRC) % FEATURES
+        else:
+            out = _numbers(shape(token))
+        low = token.lower().encode("utf-8", "surrogatepass")
+        out += [zlib.crc32(low, x) % FEATURES for x in _AROUND]
+        self[token] = out
+        return out
+
+    def bound(self) -> None:
+        for part in (self, self.classes, self.entropies):
+            if len(part) > KNOWN:
+                part.clear()
+
+
+_IS_OF_HEX = _numbers(("hexFalse", "hexTrue"))
+_STARTS_CRC = zlib.crc32(b"starts")
 
 
 class Field:
@@ -172,6 +288,8 @@ class Field:
 
     def __init__(self, weights: np.ndarray, moves: np.ndarray):
         self.weights, self.moves = weights, moves
+        self.known = Numbers()
+        self.padded = np.concatenate([weights, np.zeros((1, 3), weights.dtype)])
 
     @classmethod
     def nothing(cls) -> Field:
@@ -181,32 +299,35 @@ class Field:
         return cls(weights, np.zeros((3, 3)))
 
     def scores(self, chain: Chain) -> np.ndarray:
-        out = np.array([self.weights[_numbers(own + near)].sum(0) for own, near in chain.seen])
-        out[~np.array(chain.may_begin), B] = LOW
+        out = np.zeros((len(chain), 3))
+        for column in chain.numbers(self.known).T:
+            out += self.padded[column]
         return out
 
     def decode(self, chain: Chain) -> list[int]:
-        """The best tags by Viterbi; what lies before and after the chain is outside."""
-        scores, moves = self.scores(chain), self.moves + ALLOWED
-        best, back = scores[0] + moves[O], []
-        for row in scores[1:]:
-            paths = best[:, None] + moves
-            back.append(paths.argmax(0))
-            best = paths.max(0) + row
-        tags = [int((best + moves[:, O]).argmax())]
-        for step in reversed(back):
-            tags.append(int(step[tags[-1]]))
-        return tags[::-1]
+        """The best tags of all tokens; what lies before and after each text is outside."""
+        # One mark per text: only outside can be there.
+        marked = np.full((len(chain) + len(chain.of_file), 3), LOW)
+        marked[:, O] = 0
+        at = np.arange(len(chain)) + chain.owner
+        marked[at] = self.scores(chain)
+        return viterbi(marked, self.moves + ALLOWED)[at].tolist()
+
+    def spans_of(self, texts: list[str]) -> list[list[Span]]:
+        chain = Chain(texts)
+        found: list[list[Span]] = [[] for _ in texts]
+        tags = np.array(self.decode(chain), int)
+        starts, ends = chain.starts - chain.text_starts[chain.owner], chain.ends - chain.text_starts[chain.owner]
+        for k in np.flatnonzero(tags != O):
+            mine = found[chain.owner[k]]
+            if tags[k] == B:
+                mine.append((int(starts[k]), int(ends[k]), "crf"))
+            else:
+                mine[-1] = (mine[-1][0], int(ends[k]), "crf")
+        return found
 
     def spans(self, text: str) -> list[Span]:
-        found: list[Span] = []
-        for chain in chains(text):
-            for tag, s, e in zip(self.decode(chain), chain.starts, chain.ends, strict=True):
-                if tag == B:
-                    found.append((s, e, "crf"))
-                elif tag == I:
-                    found[-1] = (found[-1][0], e, "crf")
-        return found
+        return self.spans_of([text])[0]
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -214,8 +335,8 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
 
 
-def marginals(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of chains of one length (n, length, 3): tag probabilities, expected moves with both ends, log sums."""
+def marginals(scores: np.ndarray, moves: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of chains of one length (n, length, 3): tag probabilities, expected moves with both ends, weighted, log sums."""
     n, length, _ = scores.shape
     ahead = [scores[:, 0] + moves[O]]
     for t in range(1, length):
@@ -228,56 +349,109 @@ def marginals(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.nda
     tags = np.exp(np.stack([a + b for a, b in zip(ahead, behind, strict=True)], 1) - total[:, None, None])
     pairs = np.zeros((3, 3))
     for t in range(1, length):
-        pairs += np.exp(ahead[t - 1][:, :, None] + moves + (scores[:, t] + behind[t])[:, None, :] - total[:, None, None]).sum(0)
-    pairs[O] += tags[:, 0].sum(0)
-    pairs[:, O] += tags[:, -1].sum(0)
+        both = np.exp(ahead[t - 1][:, :, None] + moves + (scores[:, t] + behind[t])[:, None, :] - total[:, None, None])
+        pairs += (weight @ both.reshape(n, 9)).reshape(3, 3)
+    pairs[O] += weight @ tags[:, 0]
+    pairs[:, O] += weight @ tags[:, -1]
     return tags, pairs, total
 
 
+def labels(chain: Chain, marked: list[list[Span]]) -> np.ndarray:
+    """B where a base span begins, I elsewhere under one, O beside them."""
+    tags = np.zeros(len(chain), np.int64)
+    for k, spans in enumerate(marked):
+        for inside in (True, False):  # beginnings last: they win
+            for s, e, _ in spans:
+                low = chain.text_starts[k] + s
+                first = np.searchsorted(chain.ends, low, "right")
+                if inside:
+                    tags[first : np.searchsorted(chain.starts, chain.text_starts[k] + e)] = I
+                else:
+                    tags[first] = B
+    return tags
+
+
+class _Kept:
+    """Windows, evenly spread: every ``step``-th of those seen, at most ``WINDOWS``."""
+
+    def __init__(self):
+        self.rows, self.step, self.seen = [], 1, 0
+
+    def add(self, numbers: np.ndarray, tags: np.ndarray) -> None:
+        if self.seen % self.step == 0:
+            self.rows.append((numbers.copy(), tags.copy()))
+            if len(self.rows) > WINDOWS:
+                self.rows, self.step = self.rows[::2], 2 * self.step
+        self.seen += 1
+
+    def weight(self) -> float:
+        return self.seen / max(1, len(self.rows))
+
+
+def training_windows(texts: list[str]) -> tuple[_Kept, _Kept]:
+    """Windows with base spans and windows without. A window ends where no span is cut."""
+    with_spans, without, known = _Kept(), _Kept(), Numbers()
+    group: list[str] = []
+    for k, text in enumerate(texts):
+        group.append(text)
+        if k + 1 < len(texts) and sum(map(len, group)) < TOGETHER:
+            continue
+        chain = Chain(group)
+        numbers, tags = chain.numbers(known), labels(chain, [base_spans(t) for t in group])
+        for first, end in zip(chain.first[:-1].tolist(), chain.first[1:].tolist(), strict=True):
+            while first < end:
+                last = min(first + WINDOW, end)
+                while last < end and tags[last] == I:
+                    last += 1
+                (with_spans if tags[first:last].any() else without).add(numbers[first:last], tags[first:last])
+                first = last
+        group = []
+    return with_spans, without
+
+
 def fit(texts: list[str]) -> Field:
     """Fit on the base spans of the texts: penalised likelihood by Adam, the same on every run."""
-    by_length: dict[int, list] = {}
-    positive = 0
-    for text in texts:
-        marked = base_spans(text)
-        for chain in chains(text):
-            tags, began = [], None
-            for s, e, may in zip(chain.starts, chain.ends, chain.may_begin, strict=True):
-                inside = next((x for x in marked if x[0] < e and s < x[1]), None)
-                tags.append(O if inside is None or not (may or began == inside) else I if began == inside else B)
-                began = inside if tags[-1] != O else None
-            positive += B in tags
-            by_length.setdefault(len(tags), []).append((chain, tags))
-    if not positive:
+    with_spans, without = training_windows(texts)
+    if not with_spans.rows:
         return Field.nothing()
+    by_length: dict[int, list] = {}
+    for kept in (with_spans, without):
+        for numbers, tags in kept.rows:
+            # Few lengths: the rest of a window are marks that only outside can have.
+            length = -(-len(tags) // WINDOW) * WINDOW
+            by_length.setdefault(length, []).append((numbers, tags, kept.weight()))
     groups = []
     for length, rows in sorted(by_length.items()):
-        for hidden in (False, True):
-            seen = [_numbers(own + (() if hidden else near)) for chain, _ in rows for own, near in chain.seen]
-            ids = np.concatenate([np.array(x) for x in seen])
-            place = np.repeat(np.arange(len(seen)), [len(x) for x in seen])
-            barred = ~np.array([c.may_begin for c, _ in rows])
-            groups.append((length, ids, place, barred, np.array([t for _, t in rows])))
-    total = sum(len(g[4]) * g[0] for g in groups)
+        ids = np.full((len(rows), length, COLUMNS), FEATURES, np.uint16)
+        tags, real = np.zeros((len(rows), length), np.int64), np.zeros((len(rows), length), bool)
+        for k, (numbers, wanted, _) in enumerate(rows):
+            ids[k, : len(wanted)], tags[k, : len(wanted)], real[k, : len(wanted)] = numbers, wanted, True
+        weight = np.array([w for _, _, w in rows])
+        groups += [(ids[..., :PLAIN][real], tags, real, weight), (ids[real], tags, real, weight)]
+    total = sum(float((real * weight[:, None]).sum()) for _, _, real, weight in groups)
     weights, moves = np.zeros((FEATURES, 3)), np.zeros((3, 3))
     first = [np.zeros_like(weights), np.zeros_like(moves)]
     second = [np.zeros_like(weights), np.zeros_like(moves)]
     for step in range(1, EPOCHS + 1):
         by_weight, by_move = PENALTY * weights * total, np.zeros((3, 3))
-        for length, ids, place, barred, tags in groups:
-            n = len(tags)
-            flat = np.stack([np.bincount(place, weights[ids, k], n * length) for k in range(3)], 1)
-            scores = flat.reshape(n, length, 3).copy()
-            scores[..., B][barred] = LOW
-            got, pairs, _ = marginals(scores, moves + ALLOWED)
-            wanted = np.eye(3)[tags]
-            gap = (got - wanted).reshape(-1, 3)
+        padded = np.concatenate([weights, np.zeros((1, 3))])
+        for ids, tags, real, weight in groups:
+            flat = np.zeros((len(ids), 3))
+            for column in ids.T:
+                flat += padded[column]
+            scores = np.full((*tags.shape, 3), LOW)
+            scores[..., O] = 0
+            scores[real] = flat
+            got, pairs = marginals(scores, moves + ALLOWED, weight)[:2]
+            gap = ((got - np.eye(3)[tags]) * weight[:, None, None])[real]
             for k in range(3):
-                by_weight[:, k] += np.bincount(ids, gap[place, k], FEATURES)
-            edge = np.zeros((n, 1), int)
+                of = np.ascontiguousarray(gap[:, k])
+                for column in ids.T:
+                    by_weight[:, k] += np.bincount(column, of, FEATURES + 1)[:FEATURES]
+            edge = np.zeros((len(tags), 1), int)
             path = np.concatenate([edge, tags, edge], 1)
-            np.add.at(pairs, (path[:, :-1].ravel(), path[:, 1:].ravel()), -1)
-            by_move += pairs
+            steps = np.bincount((3 * path[:, :-1] + path[:, 1:]).ravel(), np.repeat(weight, path.shape[1] - 1), 9)
+            by_move += pairs - steps.reshape(3, 3)
         for value, slope, m, v in ((weights, by_weight, first[0], second[0]), (moves, by_move, first[1], second[1])):
             slope = slope / total
             m += 0.1 * (slope - m)
@@ -296,30 +470,17 @@ def sample_texts(docs: DataFrame, size: int = SAMPLE) -> list[str]:
     return sorted(r[0] for r in rows.collect())
 
 
-def _worth_reading(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text: whether it has a long hex run, and an open token. By bytes, all texts at once."""
-    data, starts = text_bytes(batch.column("text"))
+def _has_long_hex(column: pa.Array) -> np.ndarray:
+    """Of each text: whether a long hex run lies in it or reaches it. By bytes, all texts at once."""
+    data, starts = text_bytes(column)
     if not len(data):
-        return (np.zeros(batch.num_rows, bool),) * 2
-
-    def long_runs(mask: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-        gaps = np.concatenate([[-1], np.flatnonzero(~mask), [len(mask)]])
-        long = np.flatnonzero(np.diff(gaps) > least)
-        return gaps[long] + 1, gaps[long + 1]
-
-    hex_starts, hex_ends = long_runs(_IS_HEX[data], LEAST["hex"])
-    starts_, ends_ = long_runs(_IS_TOKEN[data], _OPEN_LENGTH)
-    digits = np.concatenate([[0], np.cumsum(_IS_DIGIT[data], dtype=np.int32)])
-    some = digits[ends_] > digits[starts_]
-
-    def touched(s: np.ndarray, e: np.ndarray) -> np.ndarray:
-        """Texts that a run lies in; one over the end of a text also counts for those that it reaches."""
-        change = np.zeros(batch.num_rows + 1, np.int64)
-        np.add.at(change, np.searchsorted(starts, s, "right") - 1, 1)
-        np.add.at(change, np.searchsorted(starts, e - 1, "right"), -1)
-        return np.cumsum(change)[:-1] > 0
-
-    return touched(hex_starts, hex_ends), touched(starts_[some], ends_[some])
+        return np.zeros(len(column), bool)
+    gaps = np.concatenate([[-1], np.flatnonzero(~_IS_HEX[data]), [len(data)]])
+    long = np.flatnonzero(np.diff(gaps) > LEAST["hex"])
+    change = np.zeros(len(column) + 1, np.int64)
+    np.add.at(change, np.searchsorted(starts, gaps[long] + 1, "right") - 1, 1)
+    np.add.at(change, np.searchsorted(starts, gaps[long + 1] - 1, "right"), -1)
+    return np.cumsum(change)[:-1] > 0
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
@@ -331,14 +492,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Field(*shared.value)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TOGETHER):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            added = tagger.spans_of(texts)
             found = []
-            for text, hexes, opens in zip(batch.column("text"), *_worth_reading(batch), strict=True):
-                text = text.as_py()
-                if not text:
-                    found.append([])
-                    continue
-                spans = all_spans(text, tagger, bool(hexes), bool(opens))
+            for text, hexes, more in zip(texts, _has_long_hex(batch.column("text")), added, strict=True):
+                spans = all_spans(text, more, bool(hexes))
                 found.append([{"start": s, "end": e, "kind": k, "value": text[s:e]} for s, e, k in spans])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(span))], ["doc_id", "spans"])
 
@@ -346,12 +505,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field:
     return source.mapInArrow(run, f"doc_id {id_type}, spans array<struct<start:bigint,end:bigint,kind:string,value:string>>")
 
 
-def all_spans(text: str, field: Field, hexes: bool = True, opens: bool = True) -> list[Span]:
+def all_spans(text: str, added: list[Span], hexes: bool = True) -> list[Span]:
     """Base spans and those that the field adds beside them."""
     found = base_spans(text) if hexes else _words_only(text)
-    if opens:
-        found = found + [x for x in field.spans(text) if not any(x[0] < b[1] and b[0] < x[1] for b in found)]
-    return sorted(found, key=_order)
+    return sorted(found + [x for x in added if not any(x[0] < b[1] and b[0] < x[1] for b in found)], key=_order)
 
 
 def _words_only(text: str) -> list[Span]:
