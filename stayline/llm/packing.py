@@ -2,15 +2,16 @@
 
 1. Documents become token ids, with an end id each, and are cut into pieces: full windows from the start,
    and one tail. A full piece is a sequence of its own.
-2. Tails are counted by length, in steps of ``STEP`` tokens. All ways to fill a window with one, two or
-   three lengths are enumerated; non-negative least squares says how often to use each so that together
-   they use up the histogram. The numbers are rounded down.
-3. What is left is packed greedily, still by counts: the longest length that is left, then again and again
-   the longest that fits. The plan has a few entries per length, whatever the number of documents.
+2. Tails are counted by length. All ways to fill a window with one, two or three lengths in steps of ``STEP``
+   tokens (rounded up) are enumerated; non-negative least squares says how often to use each so that together
+   they use up the histogram. The numbers are rounded down, and tails are taken for them by exact length.
+3. What is left is packed greedily by exact lengths, still by counts: first into the room that rounding left
+   in step 2, then into new sequences: the longest length that is left, then again and again the longest that
+   fits. The plan has a few entries per length, whatever the number of documents.
 4. Each tail takes a place in the plan by its rank among those of its length. Ranks come from counts per
    block of documents, so no length has to be gathered in one task.
 
-Padding is what rounding up to ``STEP`` and the greedy rest leave; no tail is cut.
+Padding is room that no tail that is left fits into; no tail is cut.
 
 Defined results: null and empty texts are the end id alone. Rows that are there twice are packed twice, null
 ids are kept. An empty table gives an empty result. Texts of any length are tokenized whole. Other columns
@@ -79,11 +80,11 @@ def _by_rank(model: dict):
     return tiktoken.Encoding("twin", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, step: int = STEP, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """Tokenize and cut; one row per piece, written to the shared folder.
 
     Columns doc_id, start, length, doc_tokens, ids (binary, little-endian unsigned 32-bit), ids_crc32, size
-    (length in steps, rounded up; 0 for a full window), block, and rank among those of its size in its block.
+    (the length; 0 for a full window), block, and rank among those of its size in its block.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = pick(docs, doc_id=id_col, text=text_col)
@@ -92,7 +93,7 @@ def pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         block = TaskContext.get().partitionId()
-        ranks = np.zeros(window // step + 2, np.int64)
+        ranks = np.zeros(window, np.int64)
         for batch in slices(batches, limit=1 << 20):
             owner, rows = [], []
             for k, ids in enumerate(encoder.encode([t or "" for t in batch.column("text").to_pylist()])):
@@ -100,7 +101,7 @@ def pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window].tobytes()
                     length = len(part) // 4
-                    size = 0 if length == window else -(-length // step)
+                    size = length % window
                     owner.append(k)
                     rows.append((start, length, len(ids), part, zlib.crc32(part), size, ranks[size]))
                     ranks[size] += 1
@@ -164,28 +165,31 @@ def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def plan(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    """Combinations of sizes and how often each is used; together they use every tail once.
+def plan(histogram: np.ndarray, step: int = 1) -> list[tuple[tuple[int, ...], int]]:
+    """Combinations of sizes, largest first, and how often each is used; together they use every tail once.
 
-    ``histogram[s]`` counts the tails of size s; a window holds len(histogram) - 1.
+    ``histogram[s]`` counts the tails of size s; a window holds len(histogram) - 1. Least squares looks at sizes in
+    steps, the rest at sizes as they are.
     """
-    units = len(histogram) - 1
+    window = len(histogram) - 1
+    units = window // step
     left = histogram.astype(np.int64).copy()
-    found = []
-    if left.sum():
+    opened = []
+    coarse = np.bincount(-(-np.arange(window + 1) // step), left, units + 2).astype(np.int64)[: units + 1]
+    if coarse.sum():
         ways = combinations(units)
         # Only those whose sizes all occur.
-        ways = ways[:, ((ways > 0) <= (left > 0)[:, None]).all(0)]
+        ways = ways[:, ((ways > 0) <= (coarse > 0)[:, None]).all(0)]
         if ways.shape[1]:
-            times = np.floor(nnls(ways, left.astype(float)) + 1e-6).astype(np.int64)
+            times = np.floor(nnls(ways, coarse.astype(float)) + 1e-6).astype(np.int64)
             for k in np.flatnonzero(times):
                 way = ways[:, k].astype(np.int64)
-                often = int(min(times[k], (left[way > 0] // way[way > 0]).min()))
-                if often:
-                    left -= often * way
-                    found.append((tuple(int(s) for s in np.repeat(np.arange(units + 1), way)[::-1]), often))
+                often = int(min(times[k], (coarse[way > 0] // way[way > 0]).min()))
+                coarse -= often * way
+                opened += exactly(np.repeat(np.arange(units + 1), way)[::-1].tolist(), often, left, step)
+    found = filled(opened, left)
     while left.any():
-        way, room, spare = [], units, left.copy()
+        way, room, spare = [], window, left.copy()
         while True:
             fits = np.flatnonzero(spare[: room + 1])
             if not len(fits):
@@ -195,13 +199,51 @@ def plan(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
             way += [size] * often
             spare[size] -= often
             room -= size * often
-        counts = np.bincount(way, minlength=units + 1)
+        counts = np.bincount(way, minlength=window + 1)
         often = int((left[counts > 0] // counts[counts > 0]).min())
         left -= often * counts
         found.append((tuple(way), often))
     return found
 
 
+def exactly(way: list[int], often: int, left: np.ndarray, step: int) -> list[tuple[list[int], int]]:
+    """Take tails for a combination of sizes in steps, the longest first; ``left`` loses them."""
+    found = []
+    while often:
+        counts: dict[int, int] = {}
+        for size in way:
+            length = next(x for x in range(size * step, (size - 1) * step, -1) if left[x] > counts.get(x, 0))
+            counts[length] = counts.get(length, 0) + 1
+        times = min(often, *(int(left[x]) // n for x, n in counts.items()))
+        for x, n in counts.items():
+            left[x] -= n * times
+        often -= times
+        found.append(([x for x, n in counts.items() for _ in range(n)], times))
+    return found
+
+
+def filled(opened: list[tuple[list[int], int]], left: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """Put tails that are left where there is room, the longest that fits first; ``left`` loses them."""
+    found, open_ = [], opened[::-1]
+    while open_:
+        way, times = open_.pop()
+        room = len(left) - 1 - sum(way)
+        fits = np.flatnonzero(left[: room + 1])
+        if not len(fits):
+            found.append((tuple(sorted(way, reverse=True)), times))
+            continue
+        size = int(fits[-1])
+        each = min(room // size, int(left[size]) // times)
+        if not each:
+            # Too few for all of them.
+            some = int(left[size])
+            open_.append((way, times - some))
+            each, times = 1, some
+        left[size] -= each * times
+        open_.append((way + [size] * each, times))
+    return found
+
+
 def places(planned: list[tuple[tuple[int, ...], int]], units: int) -> list[np.ndarray]:
     """Per size, rows (first rank, ranks per sequence, first sequence, first slot), by rank."""
     rows: list[list] = [[] for _ in range(units + 1)]
@@ -218,15 +260,14 @@ def places(planned: list[tuple[tuple[int, ...], int]], units: int) -> list[np.nd
 
 def pack(cut: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame:
     """Pieces with sequence_id and offset. ``cut`` as ``pieces`` gives it."""
-    units = window // step
     # One row per size.
-    histogram = np.zeros(units + 1, np.int64)
+    histogram = np.zeros(window + 1, np.int64)
     by_block = cut.groupBy("block", "size").agg(F.count(F.lit(1)).alias("n"))
     for size, n in by_block.groupBy("size").agg(F.sum("n")).collect():
         histogram[size] = n
     histogram[0] = 0
-    planned = plan(histogram)
-    tables, first_full = places(planned, units), sum(often for _, often in planned)
+    planned = plan(histogram, step)
+    tables, first_full = places(planned, window), sum(often for _, often in planned)
     # Ranks among all blocks: a table with a few rows per block and size.
     before = by_block.select("block", "size", (F.sum("n").over(Window.partitionBy("size").orderBy("block")) - F.col("n")).alias("before"))
     ranked = cut.join(before, ["block", "size"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before", "block")

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from stayline.llm import secret_scan
+from stayline.llm import packing, secret_scan
 
 
 def test_secrets_of_letters_only_are_found():
@@ -49,3 +49,25 @@ def test_quick_feature_numbers_are_those_of_the_shape():
         low = token.lower()
         assert known[token] == secret_scan._numbers((*secret_scan.shape(token), f"near0{low}", f"near1{low}", f"next{low}"))
     assert known["é"] == secret_scan._numbers((*secret_scan.shape("é"), "near0é", "near1é", "nexté"))
+
+
+def test_short_tails_fill_windows_by_their_exact_length():
+    histogram = np.zeros(packing.WINDOW + 1, np.int64)
+    histogram[9] = 100_000
+    planned = packing.plan(histogram, packing.STEP)
+    assert sum(often for _, often in planned) == -(-100_000 // (packing.WINDOW // 9))
+    histogram[9], histogram[1] = 0, 5 * packing.WINDOW
+    assert packing.plan(histogram, packing.STEP) == [((1,) * packing.WINDOW, 5)]
+
+
+def test_room_left_by_rounding_is_used():
+    rng = np.random.default_rng(4)
+    histogram = np.bincount(rng.integers(100, packing.WINDOW, 20_000), minlength=packing.WINDOW + 1)
+    histogram[1:20] += rng.integers(0, 3000, 19)
+    used, sequences = np.zeros(packing.WINDOW + 1, int), 0
+    for way, often in packing.plan(histogram, packing.STEP):
+        assert sum(way) <= packing.WINDOW and list(way) == sorted(way, reverse=True)
+        np.add.at(used, list(way), often)
+        sequences += often
+    assert (used == histogram).all()
+    assert (histogram * np.arange(packing.WINDOW + 1)).sum() / (sequences * packing.WINDOW) > 0.995
