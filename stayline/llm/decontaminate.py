@@ -9,20 +9,25 @@ under a zero are ignored, so a hash of the rest still meets its partner when a w
 3. Document and benchmark hashes are joined. A hit gives an item and a diagonal (place in the document
    minus place in the item).
 4. Around hits, the words on the diagonal are compared: the best stretch (a match counts 1, a substitution
-   ``-SUBSTITUTION``) is an overlap if it has ``LEAST_WORDS`` equal words, or all but a fifth of a
-   shorter item.
+   ``-SUBSTITUTION``) is an overlap if it has ``LEAST_WORDS`` equal words. So is the diagonal from its first to
+   its last equal word, if all but a fifth of the item's words are equal there, wherever the others are.
 
 The bit table only spares work: a benchmark that fills it makes step 3 larger and changes no result. A hot
 passage costs a few hashes per document that has it; documents that share it never meet each other.
 
+Items shorter than the longest mask also have masks of their own length, which together ignore every choice of the
+words that a fifth of the item allows to differ.
+
 Defined results: null and empty texts, and texts without a word, overlap with nothing. Items of fewer than
-``SHORTEST`` words are never reported; items shorter than a mask are looked for as a whole. Rows that are
+``SHORTEST`` words are never reported: so few words stand in many texts that were not copied. Rows that are
 there twice are reported twice, null ids too. Empty tables give an empty result. Other columns are not
 looked at.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +39,7 @@ from stayline.llm.common import Words, letters, mixed, numbered, pick, place, sl
 
 # Which words of a stretch count.
 MASKS = ("11101101011", "1101011101101", "111010010110111")
-#: Equal words of an overlap; price of a substitution.
+#: Equal words of an overlap; least words of an item; share of it that is enough; price of a substitution.
 LEAST_WORDS, SHORTEST, SHARE, SUBSTITUTION = 13, 5, 0.8, 2
 #: Bits of the table that documents are checked against first.
 TABLE_BITS = 22
@@ -55,6 +60,19 @@ def seeds(word: np.ndarray, mask: str) -> np.ndarray:
     return mixed(sums)
 
 
+def short_masks(n: int) -> list[str]:
+    """Few masks over n words so that any choice of as many words as may differ is ignored by one; four ones at least."""
+    differ = n - math.ceil(SHARE * n)
+    zeros = min(n - 4, 2 * differ)
+    choices = {z: set(itertools.combinations(z, differ)) for z in itertools.combinations(range(n), zeros)}
+    left, found = set(itertools.combinations(range(n), differ)), []
+    while left:
+        gone = max(choices, key=lambda z: len(left & choices[z]))
+        left -= choices[gone]
+        found.append("".join("0" if k in gone else "1" for k in range(n)))
+    return found
+
+
 def hashed(texts: list[str | None]) -> Iterator[np.ndarray]:
     words = Words([t.lower() if t else "" for t in texts], LETTERS)
     hashes = words.hashes()
@@ -84,7 +102,8 @@ def item_hashes(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
             for item, data in zip(batch.column("item").to_pylist(), batch.column("words").to_pylist(), strict=True):
                 word = np.frombuffer(data, np.uint64)
                 for mask in masks:
-                    if len(word) >= len(MASKS[0]) and mask not in MASKS or len(word) < len(MASKS[0]) != len(mask) != len(word):
+                    # Masks of an item's own length are there for short items only.
+                    if len(mask) > len(word) or mask not in MASKS and len(mask) != len(word):
                         continue
                     found = seeds(word, mask).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
@@ -106,8 +125,11 @@ def verified(word: np.ndarray, item: np.ndarray, diagonals: list[int]) -> tuple[
         low = np.minimum.accumulate(gains)
         last = int((gains - low).argmax())
         first = int(np.flatnonzero(gains[: last + 1] == low[last])[-1])
-        equal = int(same[first:last].sum())
-        if equal >= min(LEAST_WORDS, SHARE * len(item)) and (best is None or equal > best[0]):
+        equal, whole = int(same[first:last].sum()), int(same.sum())
+        if whole > equal and whole >= SHARE * len(item):
+            equal, places = whole, np.flatnonzero(same)
+            first, last = int(places[0]), int(places[-1]) + 1
+        if (equal >= LEAST_WORDS or equal >= SHARE * len(item)) and (best is None or equal > best[0]):
             best = (equal, start + first, start + last)
     return best
 
@@ -120,8 +142,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     items = item_words(benchmark, item_col, item_text_col)
-    lengths = [r[0] for r in items.filter(F.octet_length("words") < 8 * len(MASKS[0])).select((F.octet_length("words") / 8).cast("int")).distinct().collect()]
-    masks = (*MASKS, *("1" * n for n in sorted(lengths)))
+    lengths = [r[0] for r in items.filter(F.octet_length("words") < 8 * len(MASKS[-1])).select((F.octet_length("words") / 8).cast("int")).distinct().collect()]
+    masks = tuple(dict.fromkeys([*MASKS, *(m for n in sorted(lengths) for m in short_masks(n))]))
     table = staged(item_hashes(items, masks))
     cell = F.shiftrightunsigned("hash", 64 - TABLE_BITS)
     cells = table.groupBy(F.shiftright(cell, 6).alias("cell")).agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(hash, {64 - TABLE_BITS}) & 63 as int)))").alias("bits"))

@@ -1,10 +1,12 @@
 """Places where an operator once did less than the whole job."""
 
+import itertools
+import math
 import random
 
 import numpy as np
 
-from stayline.llm import packing, secret_scan
+from stayline.llm import decontaminate, packing, secret_scan
 
 
 def test_secrets_of_letters_only_are_found():
@@ -71,3 +73,26 @@ def test_room_left_by_rounding_is_used():
         sequences += often
     assert (used == histogram).all()
     assert (histogram * np.arange(packing.WINDOW + 1)).sum() / (sequences * packing.WINDOW) > 0.995
+
+
+def test_replaced_words_do_not_hide_short_items(spark):
+    items = {n: [f"w{n}x{k}" for k in range(n)] for n in (4, 5, 7, 10, 12, 15, 18)}
+
+    def changed(n, *places):
+        return " ".join("other" if k in places else w for k, w in enumerate(items[n]))
+
+    found = [(15, changed(15, 1, 13), 13), (18, changed(18, 1, 16), 16), (5, changed(5, 2), 4), (7, changed(7, 0), 6), (10, changed(10, 3, 6), 8), (12, changed(12, 2, 8), 10)]
+    missed = [changed(5, 1, 3), changed(4), changed(10, 0, 4, 8)]
+    texts = [f"before {t} after" for t in [x[1] for x in found] + missed]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()] + [(0, ""), (1, None)], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.n_words) for r in decontaminate.overlaps(docs, benchmark).collect())
+    assert got == [(k, n, words) for k, (n, _, words) in enumerate(found)]
+
+
+def test_own_masks_ignore_every_choice_of_words():
+    for n in range(decontaminate.SHORTEST, len(decontaminate.MASKS[-1])):
+        masks = decontaminate.short_masks(n)
+        for gone in itertools.combinations(range(n), n - math.ceil(decontaminate.SHARE * n)):
+            assert any(all(mask[k] == "0" for k in gone) for mask in masks)
+        assert all(len(mask) == n and mask.count("1") >= 4 for mask in masks) and len(masks) <= 2 * n
