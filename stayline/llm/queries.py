@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import decontaminate, exact_dedup, jaccard_join, language_id, packing, secret_scan, substring_dedup, suffix_dedup, toxicity, warc
+from stayline.llm import (
+    alignment,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    packing,
+    periodic_runs,
+    secret_scan,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,3 +126,50 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("row_id")
+
+
+def repeat_tail(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """A tenth of all texts, by a checksum of the id, repeat a part of themselves to the end; null ids change nothing."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digest(table(spark, folder, "documents"), change=repeat_tail)
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.link_figures(table(spark, folder, "documents"), *alignment.models())
+
+
+@query(
+    "op13_line_dedup",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+    ), l AS (
+        SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS k FROM d
+    ), x AS (
+        SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM l
+    ), hot AS (
+        SELECT key FROM x WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
+    )
+    SELECT doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE hot.key IS NULL), '')) AS kept_sha256
+    FROM x LEFT JOIN hot ON x.key = hot.key
+    GROUP BY r, doc_id
+    """,
+)
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digest(table(spark, folder, "documents"))
