@@ -26,6 +26,7 @@ encoded whole. Other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -49,8 +50,31 @@ WIDE = 1 << 12
 LISTED = 1 << 22
 
 
-class Left:
-    """Tokenizer A, byte-level, and the bytes of its tokens."""
+class Side:
+    """A tokenizer and the bytes of its tokens. ``encode`` gives the ids of many texts one after the other, and how many of each."""
+
+    def __init__(self, of_tokens: list[bytes]):
+        self.sizes = np.fromiter(map(len, of_tokens), np.int64, len(of_tokens))
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(of_tokens), np.uint8)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = self.lists(texts)
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(counts.sum())), counts
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of tokens one after the other."""
+        sizes = self.sizes[ids]
+        until = np.cumsum(sizes)
+        return self.flat[np.repeat(self.begins[ids] - until + sizes, sizes) + np.arange(until[-1] if len(ids) else 0)]
+
+
+class Left(Side):
+    """Tokenizer A, byte-level; a space comes before each text."""
 
     def __init__(self, model: str):
         self.encoder = Encoder(model)
@@ -59,30 +83,35 @@ class Left:
         # Byte-level vocabularies write the printable bytes as themselves, the others from code point 256 on.
         same = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in same} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(same))}
-        self.bytes = [b""] * (max(known.values()) + 1)
+        of_tokens = [b""] * (max(known.values()) + 1)
         for token, i in known.items():
-            self.bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+            of_tokens[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        super().__init__(of_tokens)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not self.encoder.quick:
+            return super().encode(texts)
+        parts = [self.encoder.quick.encode_to_numpy(" " + t, disallowed_special=()) for t in texts]
+        return np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64), np.fromiter(map(len, parts), np.int64, len(parts))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        if self.encoder.quick:
-            return [self.encoder.quick.encode_ordinary(" " + t) for t in texts]
+    def lists(self, texts: list[str]) -> list[list[int]]:
         return self.encoder.slow([" " + t for t in texts])
 
 
-class Right:
-    """Tokenizer B, pieces with byte fallback, and the bytes of its tokens."""
+class Right(Side):
+    """Tokenizer B, pieces with byte fallback; it writes a space before each text itself."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.bytes = [self._bytes(i) for i in range(self.pieces.vocab_size())]
+        super().__init__([self._bytes(i) for i in range(self.pieces.vocab_size())])
 
     def _bytes(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def lists(self, texts: list[str]) -> list[list[int]]:
         return self.pieces.encode(texts, num_threads=1)
 
 
@@ -109,17 +138,20 @@ def coalesced(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 def aligned(texts: list[str], left: Left, right: Right) -> Aligned:
     """Documents one after the other; those without tokens have empty stretches."""
-    ids: list[tuple[list[int], list[int]]] = []
-    for text, a, b in zip(texts, left.encode(texts), right.encode(texts), strict=True):
-        data = b" " + text.encode()
-        good = text and b"".join(map(left.bytes.__getitem__, a)) == data and b"".join(map(right.bytes.__getitem__, b)) == data
-        ids.append((a, b) if good else ([], []))
+    data = [b" " + t.encode() if t else b"" for t in texts]
+    good = np.fromiter(map(bool, texts), bool, len(texts))
+    found = []
+    for side in (left, right):
+        ids, counts = side.encode(texts)
+        joined, size = side.joined(ids), np.append(0, np.cumsum(side.sizes[ids]))
+        at = size[np.append(0, np.cumsum(counts))]
+        good &= [joined[s:e].tobytes() == d for s, e, d in zip(at[:-1].tolist(), at[1:].tolist(), data, strict=True)]
+        found.append((side, ids, counts))
     sides, first, starts, ends = [], [], [], []
-    for k, table in enumerate((left.bytes, right.bytes)):
-        side = np.array([i for x in ids for i in x[k]], np.int64)
-        sizes = np.fromiter(map(len, table), np.int64, len(table))[side]
-        sides.append(side)
-        first.append(np.cumsum([0, *(len(x[k]) for x in ids)]))
+    for side, ids, counts in found:
+        sides.append(ids[np.repeat(good, counts)])
+        first.append(np.append(0, np.cumsum(counts * good)))
+        sizes = side.sizes[sides[-1]]
         ends.append(np.cumsum(sizes))
         starts.append(ends[-1] - sizes)
     # Documents have the same bytes on both sides, so the places of both run on together.
@@ -210,10 +242,10 @@ def alignments(docs: DataFrame, model_a: str, model_b: bytes, id_col: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = Left(sent.value[0]), Right(sent.value[1])
-        writer = Writer(max(len(left.bytes), len(right.bytes)))
+        writer = Writer(max(len(left), len(right)))
         for batch in slices(batches, limit=TOGETHER):
             of = aligned([t or "" for t in batch.column("text").to_pylist()], left, right)
-            figures = (*(np.diff(x) for x in (of.first_a, of.first_b, of.first_group)), links(of, len(right.bytes))[0])
+            figures = (*(np.diff(x) for x in (of.first_a, of.first_b, of.first_group)), links(of, len(right))[0])
             columns = [batch.column("doc_id"), *map(pa.array, figures), pa.array([t.decode() for t in writer.texts(of)], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *FIGURES, "groups"])
 
@@ -233,11 +265,11 @@ def blocks(docs: DataFrame, model_a: str, model_b: bytes, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = Left(sent.value[0]), Right(sent.value[1])
-        writer = Writer(max(len(left.bytes), len(right.bytes)))
+        writer = Writer(max(len(left), len(right)))
         block, parts, held = TaskContext.get().partitionId() << 32, [], 0
         for batch in slices(batches, limit=TOGETHER):
             of = aligned([t or "" for t in batch.column("text").to_pylist()], left, right)
-            total, doc, pair, often = links(of, len(right.bytes))
+            total, doc, pair, often = links(of, len(right))
             figures = (*(np.diff(x) for x in (of.first_a, of.first_b, of.first_group)), total)
             shas = [hashlib.sha256(t).hexdigest() if t else "" for t in writer.texts(of)]
             parts.append((batch.column("doc_id"), figures, shas, np.searchsorted(doc, np.arange(len(total) + 1)), pair, often))
@@ -299,7 +331,7 @@ def link_figures(docs: DataFrame, model_a: str, model_b: bytes, id_col: str = "d
     n_best: links whose count is the highest of their A id; count_sum: counts added up over links.
     """
     written = blocks(docs, model_a, model_b, id_col, text_col, block_pairs)
-    counts = pair_counts(written, len(Right(model_b).bytes)).select("pair", "documents", "best")
+    counts = pair_counts(written, len(Right(model_b))).select("pair", "documents", "best")
     back = block_pairs_of(written).select("block", "place", "pair").join(apart(counts), "pair").select("block", "place", "documents", "best")
     rows = written.filter("pairs is null").select("block", "doc_id", *FIGURES, "groups_sha256", "links", "often")
 

@@ -72,8 +72,7 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_decontaminate")
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
-    return found.drop("row_id")
+    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 @query("op6_substring_dedup")

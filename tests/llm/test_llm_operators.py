@@ -337,9 +337,12 @@ def test_decontaminate(spark, rows):
     planted = [(1000, "before " + items[0][1].upper() + ", after"), (1001, "x " + " ".join(changed) + " y"), (1002, "well, Just six words: stand here together."), (1003, " ".join(items[2][1].split()[:9]))]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     docs = make(spark, rows + planted + planted[:1])
-    got = sorted((r.doc_id, r.item_id, r.n_words) for r in D.overlaps(docs, benchmark).collect())
-    assert got == [(1000, 0, 30), (1000, 0, 30), (1001, 1, 28), (1002, 9, 6)]
-    assert D.drop_contaminated(docs, benchmark).count() == len(rows) + 1
+    for sent_words in (0, D.SENT_WORDS):
+        got = sorted((r.doc_id, r.item_id, r.n_words) for r in D.overlaps(docs, benchmark, sent_words=sent_words).collect())
+        assert got == [(1000, 0, 30), (1000, 0, 30), (1001, 1, 28), (1002, 9, 6)]
+        kept = D.drop_contaminated(docs, benchmark, sent_words=sent_words)
+        assert sorted((r[0], r[2]) for r in kept.collect() if r[0]) == sorted((i, t) for i, t in [*rows, planted[-1]] if i)
+        assert kept.columns == docs.columns
     assert D.overlaps(docs, benchmark.limit(0)).count() == 0
 
 
