@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.session import ensure_checkpoint_dir
@@ -46,9 +46,21 @@ def staged(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables that ``staged`` has written and that nobody has discarded.
+STAGED: list[str] = []
+
+
+def discard(spark: SparkSession, kept: int = 0) -> None:
+    """Delete what ``staged`` has written, but for the first ``kept`` tables: call it when the result is written."""
+    while len(STAGED) > kept:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(STAGED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def apart(summary: DataFrame) -> DataFrame:
     """Deal a table of sums out evenly before it is joined to the rows that it sums up.
 
@@ -57,6 +69,35 @@ def apart(summary: DataFrame) -> DataFrame:
     return summary.repartition(int(summary.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: Rows of a list that are sent to all tasks at most (a few dozen bytes each).
+SENT_ROWS = 4 << 20
+
+
+def sent_if_few(table: DataFrame, most: int = SENT_ROWS) -> DataFrame:
+    """A written table, marked to be sent to all tasks if it has few rows; otherwise Spark shuffles both sides."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
+def with_names(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Adds ``name``: two hashes of id and text. Rows with one name are interchangeable."""
+    return rows.withColumn("name", F.struct(F.xxhash64(id_col, text_col).alias("k1"), F.hash(text_col, id_col).alias("k2")))
+
+
+def only_kept(rows: DataFrame, decided: DataFrame, most: int = SENT_ROWS) -> DataFrame:
+    """The rows that stay. ``decided``: name and kept, one row per row; of rows with one name one stays.
+
+    What goes is looked up where the rows are read, as long as it is few; texts are not moved for it.
+    """
+    decided = staged(decided.select("name", "kept"))
+    gone = staged(decided.filter("not kept").select("name").distinct())
+    left = rows.join(sent_if_few(gone, most), "name", "left_anti")
+    twins = staged(decided.filter("kept").groupBy("name").count().filter("count > 1").select("name"))
+    if twins.isEmpty():
+        return left
+    side = sent_if_few(twins, most)
+    return left.join(side, "name", "left_anti").unionByName(left.join(side, "name", "left_semi").dropDuplicates(["name"]))
+
+
 def null_to_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

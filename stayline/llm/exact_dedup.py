@@ -8,7 +8,9 @@ Texts are equal when they are identical after each run of white space became one
 4. Texts whose fingerprint counts more than one are grouped by their bytes, so two texts that share a
    fingerprint stay apart.
 
-A hot group costs one filter entry per partition in step 3 and one partial sum per task in step 4.
+Fingerprints that count more than one are sent to the rows, up to ``SENT_ROWS`` of them (checked), so texts that are
+alone are not moved; if there are more, all texts are grouped. A hot group costs one filter entry per partition in
+step 3 and one partial sum per task in step 4.
 
 Defined results: a null text counts as empty. A null id is larger than any other. Of rows with the same
 id and equal texts one stays, whichever was written first. An empty table gives an empty result. Other
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import SPACE, apart, buckets_for, null_to_empty, numbered, pick, place, staged
+from stayline.llm.common import SENT_ROWS, SPACE, buckets_for, null_to_empty, numbered, only_kept, pick, place, staged, with_names
 
 #: Fingerprints that a merging task holds at most, unless hashes are badly uneven.
 MERGE_FINGERPRINTS = 1 << 18
@@ -131,20 +133,20 @@ def repeated_fingerprints(df: DataFrame, rows: int) -> DataFrame:
     return filters.groupBy("part").applyInArrow(merge, "fp long, n long")
 
 
-def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None, sent_rows: int = SENT_ROWS) -> DataFrame:
     """One row per row: doc_id, keep_id, group_size, kept, text_sha256 and row_id.
 
-    ``row_col`` names a stable number of each row; without it, rows are numbered here.
+    ``row_col`` names what tells rows apart; without it, rows are numbered here.
     """
     source = pick(df, doc_id=id_col, text=text_col, **({"row_id": row_col} if row_col else {}))
     text = source.withColumn("text", normalised(F.col("text"))).withColumn("fp", F.xxhash64("text"))
     row = F.col("row_id") if row_col else F.monotonically_increasing_id()
     rows = staged(text.select("doc_id", row.alias("row_id"), "fp", F.sha2("text", 256).alias("text_sha256")))
-    again = repeated_fingerprints(rows, rows.count()).select("fp")
+    again = staged(repeated_fingerprints(rows, rows.count()).select("fp"))
+    suspected = text.join(F.broadcast(again), "fp", "left_semi") if again.count() <= sent_rows else text
     # Grouped by the text itself: this is the comparison byte by byte.
     groups = (
-        text.join(apart(again), "fp", "left_semi")
-        .groupBy("fp", "text")
+        suspected.groupBy("fp", "text")
         .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .select("fp", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
         .filter("group_size > 1")
@@ -171,10 +173,10 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sent_rows: int = SENT_ROWS) -> DataFrame:
     """The rows that stay, with all their columns."""
     plain = numbered(df)
-    rows = staged(plain.withColumn("row", F.monotonically_increasing_id()))
-    groups = exact_groups(rows, f"_{place(df, id_col)}", f"_{place(df, text_col)}", "row")
-    gone = groups.filter(~F.col("kept")).select(F.col("row_id").alias("row"))
-    return rows.join(gone, "row", "left_anti").select(*plain.columns).toDF(*df.columns)
+    id_, text = f"_{place(df, id_col)}", f"_{place(df, text_col)}"
+    rows = with_names(plain, id_, text)
+    groups = exact_groups(rows, id_, text, "name", sent_rows)
+    return only_kept(rows, groups.withColumnRenamed("row_id", "name"), sent_rows).select(*plain.columns).toDF(*df.columns)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import NOT_SPACE, Words, apart, buckets_for, mixed, numbered, pick, place, slices, staged, stretch_hashes
+from stayline.llm.common import NOT_SPACE, Words, apart, buckets_for, mixed, numbered, only_kept, pick, place, slices, staged, stretch_hashes, with_names
 from stayline.llm.components import components
 
 
@@ -133,8 +133,8 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
                 [batch.column("doc_id"), batch.column("row_id"), pa.array([len(s) for s in sets], pa.int64()), cids], ["doc_id", "row_id", "n", "cid"]
             )
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return staged(docs.mapInArrow(run, f"doc_id {id_type}, row_id long, n long, cid long"))
+    id_type, row_type = (docs.schema[c].dataType.simpleString() for c in ("doc_id", "row_id"))
+    return staged(docs.mapInArrow(run, f"doc_id {id_type}, row_id {row_type}, n long, cid long"))
 
 
 def sketch(docs: DataFrame, rule: Rule) -> Sketch:
@@ -474,9 +474,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
     """One row of each component, that with the smallest id (nulls last, then the first), with all its columns."""
     plain = numbered(docs)
-    rows = staged(plain.withColumn("row", F.monotonically_increasing_id()))
-    groups = staged(near_groups(rows, f"_{place(docs, id_col)}", f"_{place(docs, text_col)}", "row", rule))
+    id_, text = f"_{place(docs, id_col)}", f"_{place(docs, text_col)}"
+    rows = with_names(plain, id_, text)
+    groups = staged(near_groups(rows, id_, text, "name", rule))
     key = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id").alias("id"), F.col("row_id").alias("row"))
     first = groups.filter("root is not null").groupBy("root").agg(F.min(key).getField("row").alias("first"))
-    gone = groups.join(apart(first), "root").filter("row_id <> first").select(F.col("row_id").alias("row"))
-    return rows.join(gone, "row", "left_anti").select(*plain.columns).toDF(*docs.columns)
+    found = groups.join(apart(first), "root", "left")
+    decided = found.select(F.col("row_id").alias("name"), F.coalesce(F.col("row_id") == F.col("first"), F.lit(True)).alias("kept"), "root")
+    # Rows without shingles all stay, also where there are several of one name.
+    return only_kept(rows, decided.filter("root is not null")).select(*plain.columns).toDF(*docs.columns)

@@ -9,7 +9,8 @@
    in step 2, then into new sequences: the longest length that is left, then again and again the longest that
    fits. The plan has a few entries per length, whatever the number of documents.
 4. Each tail takes a place in the plan by its rank among those of its length. Ranks come from counts per
-   block of documents, so no length has to be gathered in one task.
+   block of documents, so no length has to be gathered in one task; the plan says which sequence the place is in and
+   at which offset, so pieces find theirs where they are and are not moved.
 
 Padding is room that no tail that is left fits into; no tail is cut.
 
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import pick, slices, staged
+from stayline.llm.common import pick, sent_if_few, slices, staged
 
 WINDOW, STEP, DEPTH = 2048, 8, 3
 END_ID = 1
@@ -80,11 +81,11 @@ def _by_rank(model: dict):
     return tiktoken.Encoding("twin", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
     """Tokenize and cut; one row per piece, written to the shared folder.
 
-    Columns doc_id, start, length, doc_tokens, ids (binary, little-endian unsigned 32-bit), ids_crc32, size
-    (the length; 0 for a full window), block, and rank among those of its size in its block.
+    Columns doc_id, start, length, doc_tokens, ids (if ``keep_ids``; binary, little-endian unsigned 32-bit),
+    ids_crc32, size (the length; 0 for a full window), block, and rank among those of its size in its block.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = pick(docs, doc_id=id_col, text=text_col)
@@ -105,18 +106,16 @@ def pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                     owner.append(k)
                     rows.append((start, length, len(ids), part, zlib.crc32(part), size, ranks[size]))
                     ranks[size] += 1
-            columns = list(zip(*rows, strict=True))
-            arrays = [pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(columns)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(owner)), *arrays, pa.array(np.full(len(rows), block))],
-                ["doc_id", "start", "length", "doc_tokens", "ids", "ids_crc32", "size", "rank", "block"],
-            )
+            made = dict(zip(("start", "length", "doc_tokens", "ids", "ids_crc32", "size", "rank"), zip(*rows, strict=True), strict=True))
+            columns = {c: pa.array(v, kinds[c]) for c, v in made.items() if c in kinds}
+            columns["block"] = pa.array(np.full(len(rows), block))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").take(pa.array(owner)), **columns})
 
-    return staged(
-        source.mapInArrow(
-            run, f"doc_id {id_type}, start long, length long, doc_tokens long, ids binary, ids_crc32 long, size long, rank long, block long"
-        )
-    )
+    kinds = dict.fromkeys(("start", "length", "doc_tokens", "ids", "ids_crc32", "size", "rank", "block"), pa.int64()) | {"ids": pa.binary()}
+    if not keep_ids:
+        del kinds["ids"]
+    schema = ", ".join(f"{c} {'binary' if c == 'ids' else 'long'}" for c in kinds)
+    return staged(source.mapInArrow(run, f"doc_id {id_type}, {schema}"))
 
 
 def combinations(units: int) -> np.ndarray:
@@ -245,14 +244,15 @@ def filled(opened: list[tuple[list[int], int]], left: np.ndarray) -> list[tuple[
 
 
 def places(planned: list[tuple[tuple[int, ...], int]], units: int) -> list[np.ndarray]:
-    """Per size, rows (first rank, ranks per sequence, first sequence, first slot), by rank."""
+    """Per size, rows (first rank, ranks per sequence, first sequence, offset of the first there), by rank."""
     rows: list[list] = [[] for _ in range(units + 1)]
     used = [0] * (units + 1)
     sequence = 0
     for way, often in planned:
         for size in sorted(set(way)):
             many = way.count(size)
-            rows[size].append((used[size], many, sequence, way.index(size)))
+            # Those of one size stand next to each other.
+            rows[size].append((used[size], many, sequence, sum(s for s in way if s > size)))
             used[size] += many * often
         sequence += often
     return [np.array(r, np.int64).reshape(-1, 4) for r in rows]
@@ -268,31 +268,36 @@ def pack(cut: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame:
     histogram[0] = 0
     planned = plan(histogram, step)
     tables, first_full = places(planned, window), sum(often for _, often in planned)
-    # Ranks among all blocks: a table with a few rows per block and size.
+    # Ranks among all blocks: a table with a row per block and size that occur together.
     before = by_block.select("block", "size", (F.sum("n").over(Window.partitionBy("size").orderBy("block")) - F.col("n")).alias("before"))
-    ranked = cut.join(before, ["block", "size"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before", "block")
+    ranked = cut.join(sent_if_few(staged(before)), ["block", "size"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "rank"))
-            sequence, slot = first_full + rank, np.zeros(len(rank), np.int64)
+            sequence, offset = first_full + rank, np.zeros(len(rank), np.int64)
             for s in np.unique(size[size > 0]):
                 mine = np.flatnonzero(size == s)
                 row = tables[s][np.searchsorted(tables[s][:, 0], rank[mine], "right") - 1]
                 turn = rank[mine] - row[:, 0]
                 sequence[mine] = row[:, 2] + turn // row[:, 1]
-                slot[mine] = row[:, 3] + turn % row[:, 1]
+                offset[mine] = row[:, 3] + turn % row[:, 1] * s
             names = [n for n in batch.schema.names if n not in ("size", "rank")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence), pa.array(slot)], [*names, "sequence_id", "slot"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
     kept = [f for f in ranked.schema if f.name not in ("size", "rank")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    placed = ranked.mapInArrow(run, f"{schema}, sequence_id long, slot long")
-    earlier = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0))).drop("slot")
+    return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+
+
+PLACES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def digest(docs: DataFrame, model: str) -> DataFrame:
     """Where each piece of each document goes, with a checksum of its ids."""
-    cut = pieces(docs, model).drop("ids")
-    return pack(cut).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return pack(pieces(docs, model, keep_ids=False)).select(*PLACES)
+
+
+def packed(docs: DataFrame, model: str) -> DataFrame:
+    """The same with the ids themselves: a sequence is its pieces in the order of their offsets."""
+    return pack(pieces(docs, model)).select(*PLACES, "ids")
