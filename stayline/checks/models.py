@@ -1,20 +1,27 @@
 """Queries for training, evaluation and the business outputs.
 
-Queries that end in a fitted model have no SQL; only their rows are looked at.
+SQL can't fit the models. Queries that return what a fitted model says have none; next to them stand queries with SQL
+for what must hold of any such fit: slopes are zero, tables of coefficients and nodes give the model's probabilities,
+importances are the gains of the nodes.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import SWEEP, evaluated, feature_table, rival_figures, scores
+from stayline.checks.shared import SWEEP, evaluated, feature_table, rival_figures, score_of, scores
 from stayline.checks.sql import big, query, rnd
 from stayline.functions import scalars as S
+from stayline.operators.ordering import attach
 from stayline.operators.shapes import best_row, upsert
 from stayline.plans import evaluation as E
 from stayline.plans import modeling as M
-from stayline.plans import scoring
+from stayline.plans import scoring, trees
 from stayline.session import ensure_checkpoint_dir
 from stayline.sources.schemas import feature_names
 from stayline.sources.warehouse import REGIONS
@@ -130,6 +137,22 @@ def _(w):
     return _test_scores(fitted_logistic(ready), ready)
 
 
+def _names_sql() -> str:
+    return ", ".join(f"('{name}')" for name in feature_names(REGIONS))
+
+
+@check(
+    "i6_logistic_gradient",
+    query(f"SELECT feature, 0.0::DOUBLE AS gradient FROM (VALUES {_names_sql()}, ('intercept')) n(feature) WHERE (SELECT count(*) FROM accounts) > 0"),
+)
+def _(w):
+    """The fit stands where the loss has no slope (to three decimals; one is the weighted mean of a row's pull at most)."""
+    ready = prepared(w)
+    train = M.with_balanced_weight(ready.train)
+    slopes = M.penalised_gradient(fitted_logistic(ready), train, ready.names)
+    return slopes.select("feature", (S.numpy_round(F.col("gradient"), 3) + 0.0).alias("gradient"))
+
+
 @check("i7_random_forest")
 def _(w):
     ready = prepared(w)
@@ -142,19 +165,102 @@ def _(w):
     return _test_scores(fitted_boosted(ready), ready)
 
 
-@check("i9_grid_search")
+_SAME_SQL = query(f"SELECT account_id, {big('churned')} AS churned, true AS same FROM split WHERE is_test")
+
+
+def _same(found, model, ready: M.Prepared):
+    """Whether probabilities (account_id, p) computed by other means are those of the model, per test account."""
+    scored = M.predict(model, ready.test).select("account_id", "churned", "churn_proba")
+    return scored.join(found, "account_id").select("account_id", "churned", (F.abs(F.col("p") - F.col("churn_proba")) < 1e-9).alias("same"))
+
+
+def _reached(model, ready: M.Prepared):
+    nodes = trees.node_table(model)
+    depth = max(tree.depth for tree in model.trees)
+    return trees.leaves(ready.test, nodes, model.getNumTrees, depth, "account_id", vector_to_array("features"))
+
+
+@check("i7_forest_nodes", _SAME_SQL)
+def _(w):
+    """The stored nodes, gone through level by level, give the forest's probabilities."""
+    ready = prepared(w)
+    model = fitted_forest(ready)
+    return _same(trees.votes(_reached(model, ready), "account_id"), model, ready)
+
+
+@check("i8_boosted_nodes", _SAME_SQL)
+def _(w):
+    """The stored nodes, gone through level by level, give the boosted model's probabilities."""
+    ready = prepared(w)
+    model = fitted_boosted(ready)
+    rounds = BOOSTED["maxIter"]
+    found = trees.margins(_reached(model, ready), "account_id", [rounds]).withColumnRenamed(f"p_{rounds}", "p")
+    return _same(found, model, ready)
+
+
+_GRID_SQL = f"""SELECT 'Random Forest' AS model, {big('row_number() OVER () - 1')} AS trial, a::DOUBLE AS "numTrees", b::DOUBLE AS "maxDepth",
+    c::DOUBLE AS "minInstancesPerNode", NULL::DOUBLE AS "maxIter", NULL::DOUBLE AS "stepSize", NULL::DOUBLE AS "subsamplingRate",
+    true AS in_range, true AS winner_is_best
+    FROM (SELECT * FROM (VALUES (1, 100), (2, 200)) t(i, a), (VALUES (1, 30), (2, 10), (3, 20)) u(j, b), (VALUES (1, 1), (2, 5)) v(k, c) ORDER BY i, j, k)
+    UNION ALL
+    SELECT 'Boosted Trees', {big('row_number() OVER () - 1')}, NULL, b::DOUBLE, NULL, a::DOUBLE, c::DOUBLE, d::DOUBLE, true, true
+    FROM (SELECT * FROM (VALUES (1, 100), (2, 200)) t(i, a), (VALUES (1, 3), (2, 5), (3, 7)) u(j, b), (VALUES (1, 0.05), (2, 0.1)) v(k, c),
+          (VALUES (1, 0.8), (2, 1.0)) x(l, d) ORDER BY i, j, k, l)"""
+
+
+@check("i9_grid_search", _GRID_SQL)
 def _(w):
+    """All points of both grids over five folds. AUCs depend on the fits, so the rows say that they are AUCs and that
+    the winner has the highest."""
     ready = prepared(w)
     parts = []
     for name, estimator, grid, train in (
         ("Random Forest", M.forest(), M.FOREST_GRID, M.with_balanced_weight(ready.train)),
         ("Boosted Trees", M.boosted(), M.BOOST_GRID, M.with_positive_weight(ready.train, M.positive_weight(ready.train))),
     ):
-        trials = M.grid_search(estimator, grid, M.stratified_folds(train)).trials
-        parts.append(trials.select(F.lit(name).alias("model"), "*"))
+        tuned = M.grid_search(estimator, grid, M.stratified_folds(train))
+        # One row per point.
+        top = attach(tuned.trials, tuned.trials.agg(F.max("cv_roc_auc").alias("top")))
+        at_top = reduce(Column.__and__, [F.col(k) == F.lit(float(v)) for k, v in tuned.best.items()])
+        parts.append(
+            top.select(
+                F.lit(name).alias("model"),
+                "trial",
+                *grid,
+                F.col("cv_roc_auc").between(0, 1).alias("in_range"),
+                (~at_top | (F.col("cv_roc_auc") == F.col("top"))).alias("winner_is_best"),
+            )
+        )
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
+def _fold_figures_sql() -> str:
+    """Mean and population deviation over folds of the figures of the closed-form score, on the training rows."""
+    folds = """(SELECT s.account_id, s.churned AS label, e.score,
+        (row_number() OVER (ORDER BY s.churned, md5(s.account_id || ':43'), s.account_id) - 1) % 5 AS fold
+        FROM split s JOIN evaluated e ON s.account_id = e.account_id WHERE NOT is_test)"""
+    counts = f"""SELECT fold, count(*) FILTER (label = 1 AND score > 0.5) AS tp, count(*) FILTER (label = 0 AND score > 0.5) AS fp,
+        count(*) FILTER (label = 1 AND score <= 0.5) AS fn FROM {folds} GROUP BY fold"""
+    auc = f"""SELECT fold, (sum(mid) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2e0)
+        / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0)) AS auc
+        FROM (SELECT fold, label, rank() OVER (PARTITION BY fold ORDER BY score) + (count(*) OVER (PARTITION BY fold, score) - 1) / 2e0 AS mid
+              FROM {folds}) GROUP BY fold"""
+    figures = {"roc_auc": "auc", "f1": "2e0 * tp / (2 * tp + fp + fn)", "precision": "tp::DOUBLE / (tp + fp)", "recall": "tp::DOUBLE / (tp + fn)"}
+    rows = [f"SELECT '{n}' AS metric, {rnd(f'avg({v})', 9)} AS mean, {rnd(f'stddev_pop({v})', 9)} AS std FROM fold_figures" for n, v in figures.items()]
+    blocks = query("SELECT 1 FROM split JOIN evaluated ON true").rsplit("\n", 1)[0]
+    return f"{blocks}, fold_figures AS (SELECT * FROM ({counts}) JOIN ({auc}) USING (fold))\n" + " UNION ALL ".join(rows)
+
+
+@check("i10_fold_figures", _fold_figures_sql())
+def _(w):
+    """The figures over folds that cross-validation reports, of a score that SQL can compute."""
+    ensure_checkpoint_dir(w.spark)
+    split = M.stratified_split(w.labels).checkpoint()
+    folds = M.stratified_folds(split.where("not is_test").drop("is_test"))
+    summary = M.cv_summary(M.fold_metrics(folds.withColumn("churn_proba", score_of(7919))))
+    return summary.select("metric", *[S.numpy_round(F.col(c), 9).alias(c) for c in ("mean", "std")])
+
+
 @check("i10_cross_validation")
 def _(w):
     ready = prepared(w)
@@ -314,11 +420,48 @@ def _(w):
     return M.strongest(table)
 
 
+@check("i19_coefficient_margins", _SAME_SQL)
+def _(w):
+    """The coefficient table and the population-scaled features give the model's probabilities."""
+    ready = prepared(w)
+    model = fitted_logistic(ready)
+    table = M.coefficient_table(model, ready.names, ready.n_train)
+    found = M.margins_from_table(ready.test, table, float(model.intercept), M.scaling_figures(ready.train, ready.names), ready.names)
+    return _same(found, model, ready)
+
+
+#: How many features the importance tables of the two ensembles name.
+STRONGEST = {"Random Forest": 15, "Boosted Trees": 5}
+
+
 @check("i20_importance_table")
 def _(w):
     ready = prepared(w)
-    table = M.importance_table(fitted_forest(ready), ready.names)
-    return table.orderBy(F.desc("importance"), "feature").limit(15)
+    parts = []
+    for name, fit in (("Random Forest", fitted_forest), ("Boosted Trees", fitted_boosted)):
+        table = M.importance_table(fit(ready), ready.names)
+        parts.append(table.orderBy(F.desc("importance"), "feature").limit(STRONGEST[name]).select(F.lit(name).alias("model"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+@check(
+    "i20_importances_from_nodes",
+    query(
+        f"""SELECT model, feature, true AS same FROM (VALUES {_names_sql()}) n(feature)
+        CROSS JOIN (VALUES ('Random Forest'), ('Boosted Trees')) m(model) WHERE (SELECT count(*) FROM accounts) > 0"""
+    ),
+)
+def _(w):
+    """The weighted gains of the stored nodes add up to the importances that the models report."""
+    ready = prepared(w)
+    parts = []
+    for name, fit in (("Random Forest", fitted_forest), ("Boosted Trees", fitted_boosted)):
+        model = fit(ready)
+        reported = M.importance_table(model, ready.names)
+        found = trees.importances(trees.node_table(model), ready.names, per_tree=name == "Random Forest")
+        both = reported.join(found.withColumnRenamed("importance", "summed"), "feature")
+        parts.append(both.select(F.lit(name).alias("model"), "feature", (F.abs(F.col("importance") - F.col("summed")) < 1e-9).alias("same")))
+    return parts[0].unionByName(parts[1])
 
 
 @check(

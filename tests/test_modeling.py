@@ -1,10 +1,13 @@
 import math
 
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stayline.plans import evaluation as E
 from stayline.plans import modeling as M
+from stayline.plans import trees as Trees
 from stayline.sources.schemas import features_schema, feature_names
 
 NAMES = feature_names()
@@ -160,3 +163,74 @@ def test_strongest_coefficients(spark):
 def test_grids_have_the_full_size():
     assert len(M.param_grid(M.forest(), M.FOREST_GRID)) == 12
     assert len(M.param_grid(M.boosted(), M.BOOST_GRID)) == 24
+
+
+# --- ensembles as tables -------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def weighted(ready):
+    train = M.with_positive_weight(ready.train, M.positive_weight(ready.train))
+    return M.stratified_folds(train, k=3).select("account_id", "features", "churned", "weight", "fold").checkpoint()
+
+
+@pytest.fixture(scope="module")
+def ensembles(weighted):
+    boosted = M.boosted(maxIter=6, maxDepth=3, stepSize=0.1, subsamplingRate=0.8).fit(weighted)
+    return {"boosted": boosted, "forest": M.forest(numTrees=7, maxDepth=12).fit(weighted)}
+
+
+def scored(model, rows):
+    return {r.account_id: r.churn_proba for r in M.predict(model, rows).select("account_id", "churn_proba").collect()}
+
+
+def test_first_rounds_are_a_shorter_fit(weighted, ensembles):
+    shorter = Trees.first_rounds(ensembles["boosted"], 4)
+    separate = M.boosted(maxIter=4, maxDepth=3, stepSize=0.1, subsamplingRate=0.8).fit(weighted)
+    assert shorter.getNumTrees == 4 and scored(shorter, weighted) == scored(separate, weighted)
+    assert Trees.first_rounds(separate, 4) is separate
+
+
+def test_grid_scores_are_those_of_separate_fits(weighted):
+    grid = {"maxIter": [2, 5], "maxDepth": [2, 3], "stepSize": [0.3], "subsamplingRate": [0.8]}
+    trials = M.grid_search(M.boosted(), grid, weighted).trials.collect()
+    judge = BinaryClassificationEvaluator(labelCol="churned", metricName="areaUnderROC", numBins=0)
+    rows = Trees.gathered(weighted)
+    for r in trials:
+        one = M.boosted(maxIter=int(r.maxIter), maxDepth=int(r.maxDepth), stepSize=0.3, subsamplingRate=0.8)
+        parts = [judge.evaluate(one.fit(rows.where(f"fold != {k}")).transform(rows.where(f"fold = {k}"))) for k in range(3)]
+        assert r.cv_roc_auc == pytest.approx(sum(parts) / 3, abs=1e-12)
+
+
+def test_kept_nodes_change_no_prediction(weighted, ensembles):
+    plain = M.forest(numTrees=7, maxDepth=12, cacheNodeIds=False, maxMemoryInMB=256).fit(weighted)
+    assert scored(plain, weighted) == scored(ensembles["forest"], weighted)
+
+
+@pytest.mark.parametrize("name", ["boosted", "forest"])
+def test_importances_from_nodes(ensembles, name):
+    model = ensembles[name]
+    found = {r.feature: r.importance for r in Trees.importances(Trees.node_table(model), NAMES, name == "forest").collect()}
+    assert found == pytest.approx(dict(zip(NAMES, model.featureImportances.toArray())), abs=1e-12)
+
+
+@pytest.mark.parametrize("name", ["boosted", "forest"])
+def test_probabilities_from_nodes(weighted, ensembles, name):
+    model = ensembles[name]
+    nodes = Trees.node_table(model)
+    depth = Trees.depth_of(nodes)
+    assert depth == max(t.depth for t in model.trees)
+    reached = Trees.leaves(weighted, nodes, model.getNumTrees, depth, "account_id", vector_to_array("features"))
+    if name == "forest":
+        assert {r.account_id: r.p for r in Trees.votes(reached, "account_id").collect()} == pytest.approx(scored(model, weighted), abs=1e-12)
+        return
+    found = Trees.margins(reached, "account_id", [3, 6]).collect()
+    for k in (3, 6):
+        assert {r.account_id: r[f"p_{k}"] for r in found} == pytest.approx(scored(Trees.first_rounds(model, k), weighted), abs=1e-12)
+
+
+def test_a_tree_without_splits(weighted):
+    same = weighted.withColumn("churned", F.lit(1))
+    nodes = Trees.node_table(M.forest(numTrees=2, maxDepth=3).fit(same))
+    assert Trees.depth_of(nodes) == 0
+    assert {r.importance for r in Trees.importances(nodes, NAMES, True).collect()} == {0.0}

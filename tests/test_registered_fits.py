@@ -30,12 +30,14 @@ def test_search_tries_both_grids_over_five_folds(spark, ready, monkeypatch):
 
     def search(estimator, grid, train):
         tried[type(estimator).__name__] = (grid, train.select("fold").distinct().count())
-        return M.Tuned(None, {}, spark.createDataFrame([(0, 1.0, 0.5)], f"trial int, {next(iter(grid))} double, cv_roc_auc double"))
+        first = {k: float(v[0]) for k, v in grid.items()}
+        columns = ", ".join(f"{k} double" for k in grid)
+        return M.Tuned(None, first, spark.createDataFrame([(0, *first.values(), 0.5)], f"trial int, {columns}, cv_roc_auc double"))
 
     monkeypatch.setattr(M, "grid_search", search)
     rows = CHECKS["i9_grid_search"].build(None).collect()
     assert tried == {"RandomForestClassifier": (M.FOREST_GRID, 5), "GBTClassifier": (M.BOOST_GRID, 5)}
-    assert sorted((r.model, r.numTrees, r.maxIter) for r in rows) == [("Boosted Trees", None, 1.0), ("Random Forest", 1.0, None)]
+    assert sorted((r.model, r.numTrees, r.maxIter) for r in rows) == [("Boosted Trees", None, 100.0), ("Random Forest", 100.0, None)]
 
 
 def test_all_three_models_are_cross_validated(spark, ready, monkeypatch):
