@@ -13,6 +13,7 @@ from stayline.operators.shapes import on_spine
 from stayline.plans import eda
 from stayline.plans import features as P
 from stayline.plans import scoring
+from stayline.session import ensure_checkpoint_dir
 from stayline.sources.warehouse import REGIONS, SNAPSHOT
 
 
@@ -157,6 +158,13 @@ _block_check(
 )
 
 
+def _ticket_means(w):
+    """Mean ticket figures of every account, written once: the medians are taken from them."""
+    ensure_checkpoint_dir(w.spark)
+    means = _tickets(w).select("account_id", "avg_resolution_hours", "avg_csat_score")
+    return w.account_base.select("account_id").join(means, "account_id", "left").checkpoint()
+
+
 @check(
     "d16_csat_median_fill",
     query(
@@ -166,10 +174,8 @@ _block_check(
     ),
 )
 def _(w):
-    tickets = _tickets(w)
-    joined = w.account_base.join(tickets, "account_id", "left")
-    filled = F.coalesce("avg_csat_score", P.csat_median(w.account_base, tickets))
-    return joined.select("account_id", filled.alias("avg_csat_score"))
+    joined = _ticket_means(w)
+    return joined.select("account_id", F.coalesce("avg_csat_score", P.csat_median(joined)).alias("avg_csat_score"))
 
 
 @check("d17_ticket_velocity_ratio", query("SELECT account_id, ticket_velocity_ratio FROM features"))
@@ -266,13 +272,12 @@ def _(w):
     ),
 )
 def _(w):
-    tickets = _tickets(w)
-    joined = w.account_base.select("account_id").join(tickets, "account_id", "left")
+    joined = _ticket_means(w)
     middle = exact_median(joined, "avg_resolution_hours").scalar()
     return joined.select(
         "account_id",
         F.coalesce("avg_resolution_hours", middle).alias("avg_resolution_hours"),
-        F.coalesce("avg_csat_score", P.csat_median(w.account_base, tickets)).alias("avg_csat_score"),
+        F.coalesce("avg_csat_score", P.csat_median(joined)).alias("avg_csat_score"),
     )
 
 

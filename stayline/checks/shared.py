@@ -57,10 +57,22 @@ def rival_figures(w: Warehouse) -> DataFrame:
     return figures.select("model", "position", *[numpy_round(F.col(c), 3).alias(c) for c in names])
 
 
+def account_figures(w: Warehouse) -> DataFrame:
+    """Accounts with all figures that features are made of, one pass over each fact table.
+
+    Tickets and contract span come from one grouping of the orders, usage and survey from one join of lines and orders:
+    a month of an account keeps the state of its survey answers next to its usage.
+    """
+    asked, day, score = w.survey()
+    months = w.usage_until(SNAPSHOT, P.survey_state(asked & (day <= F.lit(SNAPSHOT)), day, score))
+    used = P.usage_features(months, SNAPSHOT, one_row_per_month=True, carried=P.SURVEY_STATE, more=P.survey_figures())
+    tickets = P.ticket_figures(SNAPSHOT)
+    accounts = w.accounts_with(w.order_figures(tickets))
+    return P.account_features(accounts, SNAPSHOT, REGIONS, carried=list(tickets)).join(used, "account_id", "left")
+
+
 def feature_table(w: Warehouse) -> DataFrame:
-    return P.build_features(
-        w.accounts, w.usage_until(SNAPSHOT), w.tickets, w.nps, SNAPSHOT, REGIONS, one_usage_row_per_month=True
-    )
+    return P.finished(account_figures(w), REGIONS)
 
 
 def usage_features(w: Warehouse) -> DataFrame:

@@ -25,6 +25,7 @@ from stayline.functions.scalars import (
     URGENT_PRIORITIES,
 )
 from stayline.operators.quantiles import exact_median
+from stayline.session import ensure_checkpoint_dir
 from stayline.sources.schemas import REGIONS, feature_names
 
 # What stands in for an absent fact.
@@ -53,7 +54,9 @@ HELPERS = (
 )
 
 
-def account_features(accounts: DataFrame, snapshot: dt.date, regions: Sequence[str] = REGIONS) -> DataFrame:
+def account_features(
+    accounts: DataFrame, snapshot: dt.date, regions: Sequence[str] = REGIONS, carried: Sequence[str] = ()
+) -> DataFrame:
     """Account columns with tenure, renewal, price per seat, tier code and region dummies."""
     today = F.lit(snapshot)
     kept = accounts.select(
@@ -69,6 +72,7 @@ def account_features(accounts: DataFrame, snapshot: dt.date, regions: Sequence[s
         "contract_start_date",
         "contract_end_date",
         "renewal_months",
+        *carried,
     )
     return kept.withColumns(
         {
@@ -81,13 +85,14 @@ def account_features(accounts: DataFrame, snapshot: dt.date, regions: Sequence[s
     )
 
 
-def _by_month(usage: DataFrame, columns: Sequence[str], one_row_per_month: bool) -> DataFrame:
+def _by_month(usage: DataFrame, columns: Sequence[str], one_row_per_month: bool, carried: Sequence[str]) -> DataFrame:
     """Rows, sums and known values per account and month.
 
     A table that has one row per account and month already needs no shuffle for it.
     """
     if one_row_per_month:
         return usage.select(
+            *carried,
             "account_id",
             "month",
             F.lit(1).cast("bigint").alias("rows"),
@@ -106,7 +111,11 @@ def _by_month(usage: DataFrame, columns: Sequence[str], one_row_per_month: bool)
 
 
 def usage_features(
-    usage: DataFrame, snapshot: dt.date, one_row_per_month: bool = False
+    usage: DataFrame,
+    snapshot: dt.date,
+    one_row_per_month: bool = False,
+    carried: Sequence[str] = (),
+    more: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Means, totals, login trend and last monthly change per account.
 
@@ -115,8 +124,12 @@ def usage_features(
     an account that owns a third of the table. Rows that share a month are
     interchangeable: where "the last three rows" cuts through a month, the month's
     mean stands for each of its rows. ``one_row_per_month`` skips the combining; set
-    it only where the table is known to be at that grain, as a grouped view is.
+    it only where the table is known to be at that grain, as a grouped view is. Such a
+    table may carry other columns, and ``more`` aggregates them in the same grouping.
     """
+    more = more or {}
+    if carried and not one_row_per_month:
+        raise ValueError("columns can be carried along by one row per month only")
     means = {
         "avg_monthly_logins": "logins",
         "avg_active_user_ratio": "active_user_ratio",
@@ -124,7 +137,7 @@ def usage_features(
         "avg_data_processed_gb": "data_processed_gb",
     }
     seen = usage.where(F.col("month") <= F.lit(snapshot))
-    monthly = _by_month(seen, list(means.values()), one_row_per_month)
+    monthly = _by_month(seen, list(means.values()), one_row_per_month, carried)
     account = Window.partitionBy("account_id")
     so_far = account.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordered = monthly.withColumns(
@@ -154,6 +167,7 @@ def usage_features(
         part(last_two, "sum_logins").alias("two_sum"),
         part(last_two, "n_logins").alias("two_known"),
         part(newest, "sum_logins").alias("newest_sum"),
+        *[column.alias(name) for name, column in more.items()],
     )
     trend = F.when(
         (F.col("months_observed") < 4) | (F.col("first_mean") == 0), F.lit(0.0)
@@ -169,28 +183,36 @@ def usage_features(
         "months_observed",
         F.coalesce(trend, F.lit(0.0)).alias("login_trend_pct"),
         F.coalesce(change, F.lit(0.0)).alias("logins_mom_change"),
+        *more,
     )
 
 
-def ticket_features(tickets: DataFrame, snapshot: dt.date, recent_days: int = 90) -> DataFrame:
-    """All ticket figures in one grouping; the conditions sit inside the aggregates."""
+def ticket_figures(snapshot: dt.date, recent_days: int = 90) -> dict[str, Column]:
+    """Aggregates of the tickets created up to the snapshot; the conditions sit inside, so the
+    same grouping can look at later rows for something else."""
     today = F.lit(snapshot)
-    created = F.col("created_date")
-    urgent = is_one_of(F.col("priority"), URGENT_PRIORITIES)
-    critical = F.col("priority") == "critical"
-    return (
-        tickets.where(created <= today)
-        .groupBy("account_id")
-        .agg(
-            F.count("ticket_id").alias("total_tickets"),
-            numpy_round(mean_of(F.col("resolution_hours")), 3).alias("avg_resolution_hours"),
-            numpy_round(mean_of(F.col("csat_score")), 3).alias("avg_csat_score"),
-            numpy_round(mean_of(flag(urgent)), 3).alias("pct_high_critical_tickets"),
-            F.count_if(created >= F.date_sub(today, recent_days)).alias("tickets_last_90d"),
-            days_between(today, F.max(created)).alias("days_since_last_ticket"),
-            days_between(today, F.max(F.when(critical, created))).alias("days_since_critical_ticket"),
-        )
-    )
+    created = F.when(F.col("created_date") <= today, F.col("created_date"))
+
+    def seen(value: Column) -> Column:
+        return F.when(created.isNotNull(), value)
+
+    urgent = flag(is_one_of(F.col("priority"), URGENT_PRIORITIES))
+    return {
+        "total_tickets": F.count(seen(F.col("ticket_id"))),
+        "avg_resolution_hours": numpy_round(mean_of(seen(F.col("resolution_hours"))), 3),
+        "avg_csat_score": numpy_round(mean_of(seen(F.col("csat_score"))), 3),
+        "pct_high_critical_tickets": numpy_round(mean_of(seen(urgent)), 3),
+        "tickets_last_90d": F.count_if(created >= F.date_sub(today, recent_days)),
+        "days_since_last_ticket": days_between(today, F.max(created)),
+        "days_since_critical_ticket": days_between(today, F.max(F.when(F.col("priority") == "critical", created))),
+    }
+
+
+def ticket_features(tickets: DataFrame, snapshot: dt.date, recent_days: int = 90) -> DataFrame:
+    """All ticket figures in one grouping."""
+    figures = ticket_figures(snapshot, recent_days)
+    seen = tickets.where(F.col("created_date") <= F.lit(snapshot))
+    return seen.groupBy("account_id").agg(*[column.alias(name) for name, column in figures.items()])
 
 
 def nps_features(nps: DataFrame, snapshot: dt.date) -> DataFrame:
@@ -217,6 +239,38 @@ def nps_features(nps: DataFrame, snapshot: dt.date) -> DataFrame:
     )
 
 
+# What a month has to keep of its survey answers so that months can be put together.
+SURVEY_STATE = ("answers", "scores_known", "score_sum", "last_known", "first_answer", "last_answer")
+
+
+def survey_state(asked: Column, day: Column, score: Column) -> dict[str, Column]:
+    """Aggregates over the answers among any rows; ``asked`` says which rows are answers."""
+    place = F.unix_date(day).cast("bigint") * 100 + F.coalesce(score, F.lit(-1))
+    answer = F.when(asked, F.struct(place.alias("place"), score.alias("score")))
+    known = F.when(asked & score.isNotNull(), F.struct(place.alias("place"), score.alias("score")))
+    return {
+        "answers": F.count(answer),
+        "scores_known": F.count(F.when(asked, score)),
+        "score_sum": F.sum(F.when(asked, score)),
+        "last_known": F.max(known),
+        "first_answer": F.min(answer),
+        "last_answer": F.max(answer),
+    }
+
+
+def survey_figures() -> dict[str, Column]:
+    """The survey features from the states of an account's months; NULL where nobody answered."""
+    answers = F.sum("answers")
+    some = answers > 0
+    change = F.max("last_answer")["score"] - F.min("first_answer")["score"]
+    return {
+        "last_nps_score": F.max("last_known")["score"],
+        "nps_trend": F.when(some, F.when(answers < 2, F.lit(0)).otherwise(change).cast("double")),
+        "avg_nps_score": numpy_round(ratio(F.sum("score_sum"), F.sum("scores_known")), 2),
+        "nps_response_count": F.when(some, answers),
+    }
+
+
 def ticket_velocity(recent: Column, total: Column, months: Column) -> Column:
     """Recent tickets against what three average months would bring."""
     monthly = total.cast("double") / clip_lower(months, 1).cast("double")
@@ -250,17 +304,13 @@ def fill_nps(df: DataFrame) -> DataFrame:
     )
 
 
-def csat_median(accounts: DataFrame, tickets: DataFrame) -> Column:
+def csat_median(figures: DataFrame) -> Column:
     """Median over accounts of their mean score, as a scalar subquery.
 
     The means are scores from 1 to 5 with three decimals: at most 4,001 distinct
     values, which is what the built-in exact median keeps.
     """
-    return (
-        tickets.join(accounts.select("account_id"), "account_id", "left_semi")
-        .agg(F.median("avg_csat_score").alias("middle"))
-        .scalar()
-    )
+    return figures.agg(F.median("avg_csat_score").alias("middle")).scalar()
 
 
 def build_features(
@@ -277,16 +327,26 @@ def build_features(
     Features without a fact to rest on stay NULL where the definition gives no
     default; ``impute`` fills them before modelling.
     """
-    support = ticket_features(tickets, snapshot)
     joined = (
         account_features(accounts, snapshot, regions)
         .join(usage_features(usage, snapshot, one_usage_row_per_month), "account_id", "left")
-        .join(support, "account_id", "left")
+        .join(ticket_features(tickets, snapshot), "account_id", "left")
         .join(nps_features(nps, snapshot), "account_id", "left")
     )
-    filled = fill_nps(fill_tickets(fill_usage(joined))).withColumns(
+    return finished(joined, regions)
+
+
+def finished(joined: DataFrame, regions: Sequence[str] = REGIONS) -> DataFrame:
+    """Defaults, the median score and the ticket velocity for accounts with all their figures.
+
+    The rows (one per account) are written once: the median is taken from what was
+    joined, so no fact table is read again for it.
+    """
+    ensure_checkpoint_dir(joined.sparkSession)
+    written = joined.checkpoint()
+    filled = fill_nps(fill_tickets(fill_usage(written))).withColumns(
         {
-            "avg_csat_score": F.coalesce("avg_csat_score", csat_median(accounts, support)),
+            "avg_csat_score": F.coalesce("avg_csat_score", csat_median(written)),
             "ticket_velocity_ratio": ticket_velocity(
                 F.col("tickets_last_90d"), F.col("total_tickets"), F.col("months_observed")
             ),

@@ -72,22 +72,23 @@ class Warehouse:
             )
         )
 
-    @cached_property
-    def order_span(self) -> DataFrame:
-        """First order, last order up to the snapshot, and whether one follows it."""
-        day = F.col("o_orderdate").cast("date")
+    def order_figures(self, more: dict[str, Column] | None = None) -> DataFrame:
+        """First order, last order up to the snapshot, and whether one follows it; ``more``
+        aggregates of the tickets in the same grouping."""
+        day = F.col("created_date")
         until = F.lit(SNAPSHOT)
         renewed = (day > until) & (day <= F.date_add(until, LABEL_DAYS))
-        return (
-            self.table("orders")
-            .groupBy(F.col("o_custkey").alias("account_id"))
-            .agg(
-                F.min(day).alias("contract_start_date"),
-                F.max(F.when(day <= until, day)).alias("last_order_date"),
-                F.max(renewed.cast("int")).alias("renewed"),
-            )
+        return self.tickets.groupBy("account_id").agg(
+            F.min(day).alias("contract_start_date"),
+            F.max(F.when(day <= until, day)).alias("last_order_date"),
+            F.max(renewed.cast("int")).alias("renewed"),
+            *[column.alias(name) for name, column in (more or {}).items()],
         )
 
+    @cached_property
+    def order_span(self) -> DataFrame:
+        return self.order_figures()
+
     @cached_property
     def labels(self) -> DataFrame:
         """account_id, churned: no order in the year after the snapshot."""
@@ -95,9 +96,13 @@ class Warehouse:
 
     @cached_property
     def accounts(self) -> DataFrame:
+        return self.accounts_with(self.order_span)
+
+    def accounts_with(self, orders: DataFrame) -> DataFrame:
+        """The accounts with what their orders say, and whatever else ``orders`` holds per account."""
         churned = 1 - F.coalesce("renewed", F.lit(0))
         return (
-            self.account_base.join(self.order_span, "account_id", "left")
+            self.account_base.join(orders, "account_id", "left")
             .withColumns(
                 {
                     "contract_end_date": F.date_add(
@@ -125,13 +130,14 @@ class Warehouse:
         """One row per account and month; the grouping is combined before the shuffle."""
         return self._by_month(self._lines())
 
-    def usage_until(self, last: dt.date) -> DataFrame:
+    def usage_until(self, last: dt.date, more: dict[str, Column] | None = None) -> DataFrame:
         """Usage of the months that begin by a day. The bound stands on the stored
-        column, so the scan of the lines can skip by it."""
+        column, so the scan of the lines can skip by it. ``more`` aggregates of the lines
+        go along."""
         following = (last.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
-        return self._by_month(self._lines(F.col("l_shipdate") < F.lit(following).cast("timestamp_ntz")))
+        return self._by_month(self._lines(F.col("l_shipdate") < F.lit(following).cast("timestamp_ntz")), more)
 
-    def _by_month(self, lines: DataFrame) -> DataFrame:
+    def _by_month(self, lines: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
         discount = hundredths(F.col("l_discount"))
         tax = hundredths(F.col("l_tax"))
         price = hundredths(F.col("l_extendedprice"))
@@ -154,6 +160,7 @@ class Warehouse:
                 .alias("data_processed_gb"),
                 rows.alias("api_calls"),
                 F.max((tax >= 7).cast("int")).alias("has_api_integration"),
+                *[column.alias(name) for name, column in (more or {}).items()],
             )
         )
 
@@ -175,18 +182,24 @@ class Warehouse:
             F.when(F.col("o_orderstatus") != "P", (1 + key % 5).cast("int")).alias("csat_score"),
         )
 
+    @staticmethod
+    def survey() -> tuple[Column, Column, Column]:
+        """Which lines are survey answers, their day and their score."""
+        asked = (F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "R")
+        return asked, F.col("l_shipdate").cast("date"), hundredths(F.col("l_discount")).cast("int")
+
     @cached_property
     def nps(self) -> DataFrame:
-        shipped = F.col("l_shipdate").cast("date")
+        asked, shipped, score = self.survey()
         return (
             self._lines()
-            .where((F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "R"))
+            .where(asked)
             .select(
                 F.col("o_custkey").alias("account_id"),
                 shipped.alias("survey_date"),
                 F.concat(
                     F.lit("Q"), F.quarter(shipped).cast("string"), F.lit("_"), F.year(shipped).cast("string")
                 ).alias("quarter"),
-                hundredths(F.col("l_discount")).cast("int").alias("nps_score"),
+                score.alias("nps_score"),
             )
         )

@@ -1,5 +1,7 @@
+import collections
 import itertools
 import os
+import re
 import sys
 
 import pytest
@@ -10,7 +12,9 @@ from compare import connect, difference  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from stayline.checks import models  # noqa: E402
+from stayline.checks.shared import account_figures  # noqa: E402
 from stayline.plans import modeling  # noqa: E402
+from stayline.sources.warehouse import Warehouse  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = queries(), oracle_sql()
@@ -94,3 +98,17 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(QUERIES["d9_login_trend_pct"](spark, FOLDER))
     scan = next(part for part in plan.split("\n\n") if "lineitem.parquet" in part)
     assert "LessThan(l_shipdate" in scan
+
+
+def _scans(df):
+    """How often the plan reads each table."""
+    return collections.Counter(re.findall(r"Location: InMemoryFileIndex \[\S*?/(\w+)\.parquet\]", _plan(df)))
+
+
+def test_features_pass_over_the_facts_once(spark):
+    scans = _scans(account_figures(Warehouse(spark, FOLDER)))
+    assert scans["lineitem"] == 1 and scans["orders"] == 2
+    # What is left reads the written rows.
+    assert not _scans(QUERIES["d22_feature_table"](spark, FOLDER))
+    for name in ("d16_csat_median_fill", "e4_median_imputation"):
+        assert not _scans(QUERIES[name](spark, FOLDER))
