@@ -93,11 +93,10 @@ _SCALED = ("tenure_days", "avg_monthly_logins", "nps_response_count")
     ),
 )
 def _(w):
-    ensure_checkpoint_dir(w.spark)
-    table = feature_table(w).select("account_id", "churned", *_SCALED).na.fill(0, list(_SCALED)).checkpoint()
-    train = M.stratified_split(table).where("not is_test")
-    scaled = M.standardize(table, M.scaling_figures(train, _SCALED), _SCALED)
-    return scaled.select("account_id", *[S.numpy_round(F.col(c), 6).alias(c) for c in _SCALED])
+    """The vector that the models are fitted on."""
+    ready = prepared(w)
+    values = vector_to_array("features")
+    return ready.everyone.select("account_id", *[S.numpy_round(values[ready.names.index(c)], 6).alias(c) for c in _SCALED])
 
 
 @check(
@@ -416,7 +415,7 @@ def _(w):
 @check("i19_coefficient_table")
 def _(w):
     ready = prepared(w)
-    table = M.coefficient_table(fitted_logistic(ready), ready.names, ready.n_train)
+    table = M.coefficient_table(fitted_logistic(ready), ready.names)
     return M.strongest(table)
 
 
@@ -425,7 +424,7 @@ def _(w):
     """The coefficient table and the population-scaled features give the model's probabilities."""
     ready = prepared(w)
     model = fitted_logistic(ready)
-    table = M.coefficient_table(model, ready.names, ready.n_train)
+    table = M.coefficient_table(model, ready.names)
     found = M.margins_from_table(ready.test, table, float(model.intercept), M.scaling_figures(ready.train, ready.names), ready.names)
     return _same(found, model, ready)
 

@@ -22,10 +22,12 @@ from stayline.session import ensure_checkpoint_dir
 _POSITION_BITS = 33
 
 
-def sorted_blocks(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """Sort, then fix the block and the position of every row."""
+def sorted_blocks(df: DataFrame, order: Sequence[Column | str], key: str | None = None) -> DataFrame:
+    """Sort, then fix the block and the position of every row; of ``key`` alone if it is given."""
     ensure_checkpoint_dir(df.sparkSession)
-    frozen = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    rows = df.orderBy(*order)
+    rows = rows if key is None else rows.select(key)
+    frozen = rows.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
     return frozen.withColumns(
         {
             "_block": F.shiftright("_at", _POSITION_BITS),
@@ -34,9 +36,22 @@ def sorted_blocks(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     ).drop("_at")
 
 
-def rank_rows(df: DataFrame, order: Sequence[Column | str], name: str = "rank") -> DataFrame:
-    """Rank 1..n by a total order (give a tiebreak that makes it total)."""
-    blocks = sorted_blocks(df, order)
+def rank_rows(
+    df: DataFrame, order: Sequence[Column | str], name: str = "rank", key: str | None = None
+) -> DataFrame:
+    """Rank 1..n by a total order (give a tiebreak that makes it total).
+
+    With ``key``, a column that no two rows share and that is never NULL, only the key
+    and the order are sorted and written; the ranks are then joined to the rows. Without
+    it whole rows are.
+    """
+    if key is not None:
+        return df.join(_ranked(df, order, name, key), key)
+    return _ranked(df, order, name)
+
+
+def _ranked(df: DataFrame, order: Sequence[Column | str], name: str, key: str | None = None) -> DataFrame:
+    blocks = sorted_blocks(df, order, key)
     # One row per sort partition, so both the window and the broadcast are bounded.
     sizes = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
     before = sizes.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -10,11 +11,13 @@ from math import fsum
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -181,11 +184,15 @@ def standardize(df: DataFrame, figures: DataFrame, columns: Sequence[str]) -> Da
     return row.withColumns(scaled).drop(*figures.columns)
 
 
-def vector_stages(columns: Sequence[str]) -> list:
-    return [
-        VectorAssembler(inputCols=list(columns), outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-    ]
+def population_scaler(figures: DataFrame, columns: Sequence[str]) -> StandardScalerModel:
+    """The scaling of ``standardize`` as a stage that is stored with a model: z-scores of a vector with the figures'
+    means and population deviations (Spark's own estimator divides by n - 1). One row of figures comes to the driver."""
+    row = figures.first()
+    spread, middle = (Vectors.dense([row[f"{kind}_{c}"] or 0.0 for c in columns]) for kind in ("std", "mean"))
+    context = figures.sparkSession.sparkContext
+    java = context._jvm.org.apache.spark.ml.feature.StandardScalerModel
+    model = StandardScalerModel(java(f"population_{uuid.uuid4().hex[:12]}", _py2java(context, spread), _py2java(context, middle)))
+    return model._set(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
 
 
 # --- weights -----------------------------------------------------------------
@@ -212,14 +219,13 @@ def with_positive_weight(df: DataFrame, weight: float, label: str = "churned") -
 def logistic(n_train: int, c: float = 1.0, max_iter: int = 1000, label: str = "churned") -> LogisticRegression:
     """L2 logistic regression whose penalty matches ``C`` on population-scaled columns.
 
-    Spark averages the weighted loss and scales by the sample deviation, so the
-    penalty is divided by the weight total (n under balanced weights) and corrected
-    by (n - 1) / n.
+    Spark averages the weighted loss, so the penalty is divided by the weight total (n
+    under balanced weights).
     """
     return LogisticRegression(
         labelCol=label,
         weightCol="weight",
-        regParam=(n_train - 1) / (n_train * c * n_train),
+        regParam=1 / (c * n_train),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
@@ -383,10 +389,9 @@ def comparison_row(name: str, test_metrics: DataFrame, summary: DataFrame) -> Da
 # --- model tables ------------------------------------------------------------
 
 
-def coefficient_table(model, names: Sequence[str], n_train: int | None = None) -> DataFrame:
-    """Feature and coefficient, on population-scaled columns when ``n_train`` is given."""
-    factor = 1.0 if n_train is None else ((n_train - 1) / n_train) ** 0.5
-    rows = [(n, float(c) * factor) for n, c in zip(names, model.coefficients.toArray())]
+def coefficient_table(model, names: Sequence[str]) -> DataFrame:
+    """Feature and coefficient, on population-scaled columns."""
+    rows = [(n, float(c)) for n, c in zip(names, model.coefficients.toArray())]
     return SparkSession.active().createDataFrame(rows, "feature string, coefficient double")
 
 
@@ -435,8 +440,9 @@ def strongest(coefficients: DataFrame, k: int = 15) -> DataFrame:
 
 
 def fit_vectors(train: DataFrame, columns: Sequence[str]) -> PipelineModel:
-    """Assembler and scaler, learnt on the training rows only."""
-    return Pipeline(stages=vector_stages(columns)).fit(train)
+    """Assembler and scaler, learnt on the training rows only, in one pass."""
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="raw_features")
+    return PipelineModel(stages=[assembler, population_scaler(scaling_figures(train, columns), columns)])
 
 
 def fill_stage(fills: dict[str, float]) -> SQLTransformer:
@@ -477,13 +483,13 @@ def prepare(
 ) -> Prepared:
     """Split, impute, assemble and scale a feature table.
 
-    The feature table is checkpointed once, so the joins behind it do not run again
-    for every split, fit and score. The imputed median comes from the training rows;
+    ``features`` is a written table (a file or a checkpoint, as ``finished`` gives it), as the
+    split reads it more than once. The split rows are checkpointed, once, for every fit and score. The imputed median comes from the training rows;
     ``fit_on="all"`` takes it from the whole table. Features the imputation rules do
     not name (no contract dates, an unknown tier) become 0: no account is left out.
     """
     ensure_checkpoint_dir(features.sparkSession)
-    split = stratified_split(features.checkpoint(), label).checkpoint()
+    split = stratified_split(features, label).checkpoint()
     learnt = fit_fills(split.where("not is_test") if fit_on == "train" else split)
     fills = {**{name: 0.0 for name in names}, **learnt}
     filled = impute(split, fills)

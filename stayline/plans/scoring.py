@@ -71,9 +71,9 @@ def score_table(
 
 
 def action_list(scores: DataFrame) -> DataFrame:
-    """Critical and High accounts by expected loss, with what to do."""
+    """Critical and High accounts by expected loss, with what to do; one row per account."""
     flagged = scores.where(is_one_of(F.col("risk_tier"), ACTION_TIERS))
-    ranked = rank_rows(flagged, [F.desc("arr_at_risk"), F.asc("account_id")])
+    ranked = rank_rows(flagged, [F.desc("arr_at_risk"), F.asc("account_id")], key="account_id")
     return ranked.withColumn(
         "recommended_action", recommended_action(F.col("risk_tier"), F.col("plan_tier"))
     ).select(*ACTION_COLUMNS)

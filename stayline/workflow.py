@@ -66,7 +66,7 @@ def train(
     boost_grid: dict[str, list] = modeling.BOOST_GRID,
     folds: int = modeling.FOLDS,
     fit_on: str = "train",
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Fit, tune and evaluate the three models; store them and their figures.
 
@@ -80,7 +80,8 @@ def train(
     weighted = modeling.with_positive_weight(folded, modeling.positive_weight(weighed_on))
 
     plain = modeling.logistic(ready.n_train)
-    _keep(spark, out, LOGISTIC, plain, plain.fit(balanced), balanced, ready, parallelism)
+    # The first model starts the comparison anew.
+    _keep(spark, out, LOGISTIC, plain, plain.fit(balanced), balanced, ready, parallelism, reset=True)
     tuned = modeling.grid_search(modeling.forest(), forest_grid, balanced, parallelism=parallelism)
     best = modeling.forest(**tuned.best)
     _keep(spark, out, FOREST, best, tuned.model, balanced, ready, parallelism, tuned.trials)
@@ -90,7 +91,7 @@ def train(
     return read_metrics(spark, f"{out}/model_comparison")
 
 
-def _keep(spark, out, name, estimator, model, rows, ready, parallelism, trials=None) -> None:
+def _keep(spark, out, name, estimator, model, rows, ready, parallelism, trials=None, reset=False) -> None:
     """Store a fitted model with its test figures, curves and feature table."""
     place = f"{out}/models/{slug(name)}"
     modeling.save_model(modeling.bundle(ready.vectors, model, ready.fills), f"{place}/model")
@@ -98,7 +99,7 @@ def _keep(spark, out, name, estimator, model, rows, ready, parallelism, trials=N
     scored = dict(label="churned", score="churn_proba")
     summary = modeling.cv_summary(modeling.fold_metrics(modeling.out_of_fold(estimator, rows, parallelism=parallelism)))
     figures = evaluation.model_metrics(held, **scored, strictly_above=True)
-    upsert_metrics(spark, f"{out}/model_comparison", modeling.comparison_row(name, figures, summary))
+    upsert_metrics(spark, f"{out}/model_comparison", modeling.comparison_row(name, figures, summary), reset)
     counts = evaluation.confusion_of(held, "churned", "prediction")
     tables = {
         "confusion": counts,
@@ -106,7 +107,7 @@ def _keep(spark, out, name, estimator, model, rows, ready, parallelism, trials=N
         "roc_curve": evaluation.roc_curve(held, **scored),
         "pr_curve": evaluation.pr_curve(held, **scored),
         "features": (
-            modeling.coefficient_table(model, ready.names, ready.n_train)
+            modeling.coefficient_table(model, ready.names)
             if name == LOGISTIC
             else modeling.importance_table(model, ready.names)
         ),

@@ -75,6 +75,16 @@ def test_population_scaling(spark):
     assert sorted(tuple(r) for r in scaled) == [(-1.0, 0.0), (1.0, 0.0)]
 
 
+def test_stored_scaler_is_the_one_that_was_checked(ready, tmp_path):
+    figures = M.scaling_figures(ready.train, NAMES)
+    want = {r["account_id"]: [r[n] for n in NAMES] for r in M.standardize(ready.everyone, figures, NAMES).select("account_id", *NAMES).collect()}
+    M.save_model(ready.vectors, f"{tmp_path}/vectors")
+    vectors = M.load_model(f"{tmp_path}/vectors").transform(ready.everyone.drop("raw_features", "features"))
+    for df in (ready.everyone, vectors):
+        for r in df.select("account_id", vector_to_array("features").alias("x")).collect():
+            assert r.x == pytest.approx(want[r.account_id], abs=1e-12)
+
+
 def test_imputation_learns_from_the_training_rows(planted, ready):
     split = M.stratified_split(planted)
     hours = [r[0] for r in split.where("not is_test").select("avg_resolution_hours").dropna().collect()]
@@ -95,7 +105,7 @@ def test_logistic_matches_a_direct_solution(ready):
     weighted = M.with_balanced_weight(ready.train)
     model = M.logistic(ready.n_train).fit(weighted)
     assert _auc(model, ready) > 0.9
-    coefficients = {r["feature"]: r["coefficient"] for r in M.coefficient_table(model, NAMES, ready.n_train).collect()}
+    coefficients = {r["feature"]: r["coefficient"] for r in M.coefficient_table(model, NAMES).collect()}
     rows = weighted.select(*NAMES, "churned", "weight").toPandas()
     x = rows[NAMES].to_numpy(float)
     spread = x.std(axis=0)

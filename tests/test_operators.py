@@ -26,6 +26,16 @@ def test_rank_with_heavy_ties(spark, blocks):
     assert got == expected
 
 
+def test_rank_of_keys_alone(spark, blocks):
+    rows = [(i, float(i % 4), "x" * i) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, v double, wide string").repartition(6)
+    ranked = ordering.rank_rows(df, [F.desc("v"), F.asc("id")], key="id")
+    expected = {r[0]: (i, r[2]) for i, r in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), start=1)}
+    assert {r["id"]: (r["rank"], r["wide"]) for r in ranked.collect()} == expected
+    written = ordering.sorted_blocks(df, [F.desc("v"), F.asc("id")], "id")
+    assert written.columns == ["id", "_block", "_place"]
+
+
 def test_running_totals_by_group(spark, blocks):
     random.seed(2)
     rows = [(random.choice("aab"), i, random.randrange(10)) for i in range(400)]

@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +85,24 @@ def test_metric_store(spark, tmp_path):
     metric_store.upsert_metrics(spark, folder, _row(spark, "B", 0.6))
     got = metric_store.upsert_metrics(spark, folder, _row(spark, "A", 0.7))
     assert {(r["model"], r["f1"]) for r in got.collect()} == {("A", 0.7), ("B", 0.6)}
-    # an unfinished version does not count
-    (tmp_path / "comparison" / "version=000009").mkdir()
+    # an unfinished entry does not count
+    (tmp_path / "comparison" / "entry=000009-x").mkdir()
     assert metric_store.read_metrics(spark, folder).count() == 2
+    # a reset leaves the new models only, and later ones join them
+    metric_store.upsert_metrics(spark, folder, _row(spark, "C", 0.1), reset=True)
+    got = metric_store.upsert_metrics(spark, folder, _row(spark, "B", 0.2))
+    assert {(r["model"], r["f1"]) for r in got.collect()} == {("B", 0.2), ("C", 0.1)}
+
+
+def test_writers_at_the_same_time_lose_nothing(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "comparison")
+    metric_store.upsert_metrics(spark, folder, _row(spark, "A", 0.1))
+    # Each of the writers sees the table as it was before the others wrote.
+    seen = metric_store._entries(spark, folder)
+    with monkeypatch.context() as m:
+        m.setattr(metric_store, "_entries", lambda *_: seen)
+        with ThreadPool(4) as pool:
+            pool.map(lambda name: metric_store.upsert_metrics(spark, folder, _row(spark, name, 0.5)), "BCDE")
+        metric_store.upsert_metrics(spark, folder, _row(spark, "A", 0.3))
+    got = {(r["model"], r["f1"]) for r in metric_store.read_metrics(spark, folder).collect()}
+    assert got == {("A", 0.3), *((name, 0.5) for name in "BCDE")}
