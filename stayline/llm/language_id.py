@@ -5,16 +5,19 @@ n-grams (with word ends marked), from long to short: the longest length of which
 one decides, by the mean log frequency of the known ones. The scores of all words of a text are added up;
 the best language wins (ties: the first in the alphabet), its posterior is the score.
 
-The tables are fitted on a bounded sample per language (``SAMPLE_PER_LANGUAGE`` documents with the smallest
-hashes of their ids) of the rows given for training. Prediction reads every whole text.
+The tables are fitted in one task on a bounded sample per language (``SAMPLE_PER_LANGUAGE`` documents and
+``SAMPLE_BYTES`` bytes with the smallest hashes of id and text) of the rows given for training. Prediction reads every
+whole text.
 
 Defined results: null texts and texts without a letter get ``und`` and score 0, and so does every text if
-there is nothing to learn from. Rows with a null language teach nothing. Repeated rows get equal results,
+there is nothing to learn from. Rows with a null language teach nothing, rows that are equal teach once, also with a
+null id. Repeated rows get equal results,
 null ids are kept, an empty table gives an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +28,9 @@ from pyspark.sql import functions as F
 from stayline.llm.common import Words, gathered, letters, pick, slices
 
 UNKNOWN = "und"
-SAMPLE_PER_LANGUAGE = 800
+#: Documents and bytes of text per language that the tables are fitted on at most; a document may take one part in
+#: LONGEST_SHARE of the bytes, longer ones aren't learned from.
+SAMPLE_PER_LANGUAGE, SAMPLE_BYTES, LONGEST_SHARE = 800, 16 << 20, 16
 #: Lengths of n-grams, from the first tried to the last.
 GRAMS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
@@ -130,14 +135,34 @@ def _added(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return found, np.bincount(number, times, len(found)) if len(found) else np.zeros(0)
 
 
-def learn(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Tables:
-    """Fit on columns doc_id, text, lang: so many documents of each language at most."""
-    usable = rows.filter("lang is not null and text is not null")
-    hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    ranked = hashed.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    last = ranked.filter(F.col("rank") <= per_language).groupBy("lang").agg(F.max("h").alias("last"))
-    sample = usable.join(F.broadcast(last), "lang").filter(F.xxhash64("doc_id") <= F.col("last"))
-    return Tables.fit(sorted((r[0], r[1]) for r in sample.select("lang", "text").collect()))
+def sampled(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """Columns lang and text: of each language the rows with the smallest hashes of id and text, each such row once.
+
+    Rows are counted first; those below the hash that four times as many are expected under are looked at, so that only
+    a bounded number is ranked, however large a language or however often a row is there.
+    """
+    usable = rows.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= most_bytes // LONGEST_SHARE))
+    # Halves of the range of the hash are easier to compare as a number from 0 to 1.
+    place = (F.xxhash64("doc_id", "text") / F.lit(2.0**64) + 0.5).alias("place")
+    enough = usable.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count(F.lit(1))).alias("enough"))
+    # One row per language.
+    near = usable.select("lang", "text", place).join(F.broadcast(enough), "lang").filter("place <= enough")
+    once = near.groupBy("lang", "place").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("place")
+    ranked = once.withColumns({"rank": F.row_number().over(order), "until": F.sum(F.octet_length("text")).over(order)})
+    return ranked.filter((F.col("rank") <= per_language) & (F.col("until") <= most_bytes)).select("lang", "text")
+
+
+def learn(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_bytes: int = SAMPLE_BYTES) -> Tables:
+    """Fit on columns doc_id, text, lang: so many documents and bytes of each language at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Tables.fit(sorted((r["lang"], r["text"]) for batch in batches for r in batch.to_pylist()))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((found.languages, found.keys, found.logs))], pa.binary())], ["tables"])
+
+    # The sample is bounded, so one task fits the tables; the driver holds nothing but them.
+    fitted = sampled(rows, per_language, most_bytes).repartition(1).mapInArrow(run, "tables binary").collect()
+    return Tables(*pickle.loads(bytes(fitted[0][0]))) if fitted else Tables.fit([])
 
 
 def predict(docs: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

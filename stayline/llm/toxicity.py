@@ -2,7 +2,7 @@
 
 Each word enters as a word vector joined with the mean of the vectors of its character trigrams; words
 that aren't in the vocabulary have their trigrams only. A text is cut into overlapping windows of
-``WINDOW`` words, ``STRIDE`` apart, that cover all of it. The network reads a window in both directions,
+``WINDOW`` words, half of that apart, that cover all of it, so a passage of up to ``STRIDE`` words is whole in one. The network reads a window in both directions,
 attention pools the states, and the score of a text is that of its worst window. Training looks for the
 worst window of each text in every pass and learns from that one (multiple-instance learning), as a label
 only says that a text is toxic somewhere.
@@ -12,8 +12,9 @@ with the smallest hashes of their ids. The same sample gives the same weights.
 
 Defined results: null and empty texts, and texts without a word, are scored as one empty window. Without a
 labelled row of either kind every score is the share of toxic rows in the sample (0 if there is none).
-Equal texts get equal scores, null ids are kept (held out: no), an empty table gives an empty result, rows
-that are labelled twice count twice, null labels not at all. Other columns are not looked at.
+Equal texts get equal scores, null ids are kept (held out: no), an empty table gives an empty result. An id teaches
+once for each label that it has, however often it is labelled or stored (of its texts, that with the smallest hash);
+null labels teach nothing. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from stayline.llm.common import Words, gathered, letters, numbered, pick, place, slices
 from stayline.llm.language_id import held_out, lookup
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 #: Labelled rows that the network is fitted on at most.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1200, 2400
 EPOCHS, BATCH, RATE = 5, 48, 0.01
@@ -268,18 +269,18 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed:
 
 def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Network:
     """Fit on docs (doc_id, text) and labels (doc_id, toxic): a bounded number of each kind."""
-    hashed = labels.filter("toxic is not null and doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    known = labels.filter("toxic is not null and doc_id is not null")
+    hashed = known.select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic")).distinct().withColumn("h", F.xxhash64("doc_id"))
     ids = None
     for kind, most in ((F.col("toxic") == 1, toxic), (F.col("toxic") != 1, clean)):
         some = hashed.filter(kind).orderBy("h", "doc_id").limit(most)
         ids = some if ids is None else ids.unionByName(some)
     # At most toxic + clean rows, so small enough to send to every task.
     few = F.broadcast(ids.select(F.col("doc_id").alias("labelled"), F.col("toxic").cast("int").alias("toxic")))
-    rows = docs.join(few, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic")
-    most = 2 * (toxic + clean)
+    rows = docs.join(few, F.col("doc_id") == F.col("labelled")).groupBy("doc_id", "toxic").agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r["doc_id"], r["text"] or "", int(r["toxic"] == 1)) for batch in batches for r in batch.to_pylist())[:most]
+        rows = sorted((r["doc_id"], r["text"], r["toxic"]) for batch in batches for r in batch.to_pylist())
         net = fit([r[1] for r in rows], [r[2] for r in rows])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.vocabulary, net.w))], pa.binary())], ["net"])
 
