@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import SWEEP, evaluated, feature_table, rival_figures, score_of, scores
+from stayline.checks.shared import SWEEP, comparison, evaluated, feature_table, rival_figures, score_of, scores
 from stayline.checks.sql import big, query, rnd
 from stayline.functions import scalars as S
 from stayline.operators.ordering import attach
@@ -477,6 +477,20 @@ def _(w):
     return table.withColumn("is_best", F.col("model") == winner).drop("position")
 
 
+@check(
+    "i21_comparison_rows",
+    query(
+        """SELECT model, roc_auc, average_precision, f1, "precision", recall, cv_roc_auc_mean, cv_roc_auc_std,
+        f1 = (SELECT max(f1) FROM comparison) AS is_best FROM comparison"""
+    ),
+)
+def _(w):
+    """All seven figures of a comparison row."""
+    ensure_checkpoint_dir(w.spark)
+    rows = comparison(w).checkpoint()
+    return rows.withColumn("is_best", F.col("f1") == rows.agg(F.max("f1").alias("top")).scalar())
+
+
 @check("i21_trained_comparison")
 def _(w):
     ready = prepared(w)

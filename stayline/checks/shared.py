@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.scalars import numpy_round
 from stayline.plans import features as P
+from stayline.plans import modeling as M
 from stayline.plans.evaluation import model_metrics
 from stayline.plans.scoring import score_table
+from stayline.session import ensure_checkpoint_dir
 from stayline.sources.warehouse import REGIONS, SNAPSHOT, Warehouse
 
 # The thresholds of the sweep, written out so that SQL doesn't take them from the code under test.
@@ -57,6 +61,19 @@ def rival_figures(w: Warehouse) -> DataFrame:
     return figures.select("model", "position", *[numpy_round(F.col(c), 3).alias(c) for c in names])
 
 
+def comparison(w: Warehouse) -> DataFrame:
+    """The comparison table of the three closed-form scores: test figures over all accounts, folds over the training rows."""
+    ensure_checkpoint_dir(w.spark)
+    split = M.stratified_split(w.labels).checkpoint()
+    folds = M.stratified_folds(split.where("not is_test").drop("is_test")).checkpoint()
+    rows = []
+    for name, multiplier in RIVALS.items():
+        figures = model_metrics(split.withColumn("p", score_of(multiplier)), "churned", "p", strictly_above=True)
+        summary = M.cv_summary(M.fold_metrics(folds.withColumn("churn_proba", score_of(multiplier))))
+        rows.append(M.comparison_row(name, figures, summary))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def account_figures(w: Warehouse) -> DataFrame:
     """Accounts with all figures that features are made of, one pass over each fact table.
 

@@ -54,6 +54,10 @@ REGION_FLAGS = ", ".join(
 )
 REGION_NAMES = ", ".join(f'"region_{r}"' for r in REGIONS)
 
+_AUC = """(sum(mid) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2e0)
+    / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0))"""
+_RIVAL_SCORES = " ".join(f"WHEN '{name}' THEN {score_of(m)}" for name, m in (("alpha", 7919), ("beta", 6271), ("gamma", 4523)))
+
 # name -> (needed blocks, query)
 BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "base": (
@@ -256,6 +260,31 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
                        + (count(*) OVER (PARTITION BY model, score) - 1) / 2e0 AS mid FROM rivals) GROUP BY model) r
         ON r.m = c.model""",
     ),
+    # All seven figures of the comparison table, of the closed-form scores; folds over the training rows.
+    "comparison": (
+        ("rivals", "split"),
+        f"""SELECT c.model, {rnd("h.auc", 3)} AS roc_auc, {rnd("p.ap", 3)} AS average_precision,
+        {rnd("2e0 * tp / (2 * tp + fp + fn)", 3)} AS f1, {rnd("tp::DOUBLE / (tp + fp)", 3)} AS "precision",
+        {rnd("tp::DOUBLE / (tp + fn)", 3)} AS recall, {rnd("v.mean", 3)} AS cv_roc_auc_mean, {rnd("v.std", 3)} AS cv_roc_auc_std
+        FROM (SELECT model, count(*) FILTER (label = 1 AND score > 0.5) AS tp, count(*) FILTER (label = 0 AND score > 0.5) AS fp,
+              count(*) FILTER (label = 1 AND score <= 0.5) AS fn FROM rivals GROUP BY model) c
+        JOIN (SELECT model, {_AUC} AS auc
+              FROM (SELECT model, label, rank() OVER (PARTITION BY model ORDER BY score)
+                       + (count(*) OVER (PARTITION BY model, score) - 1) / 2e0 AS mid FROM rivals) GROUP BY model) h ON h.model = c.model
+        JOIN (SELECT model, sum(pos::DOUBLE / n_pos * tp / (tp + fp)) AS ap
+              FROM (SELECT model, pos, sum(pos) OVER (PARTITION BY model) AS n_pos, sum(pos) OVER upto AS tp, sum(neg) OVER upto AS fp
+                    FROM (SELECT model, score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM rivals GROUP BY model, score)
+                    WINDOW upto AS (PARTITION BY model ORDER BY score DESC)) GROUP BY model) p ON p.model = c.model
+        JOIN (SELECT model, avg(auc) AS mean, stddev_pop(auc) AS std
+              FROM (SELECT model, fold, {_AUC} AS auc
+                    FROM (SELECT model, fold, label, rank() OVER (PARTITION BY model, fold ORDER BY score)
+                             + (count(*) OVER (PARTITION BY model, fold, score) - 1) / 2e0 AS mid
+                          FROM (SELECT model, label, fold, CASE model {_RIVAL_SCORES} END AS score
+                                FROM (SELECT account_id, churned AS label,
+                                      (row_number() OVER (ORDER BY churned, md5(account_id || ':43'), account_id) - 1) % 5 AS fold
+                                      FROM split WHERE NOT is_test) CROSS JOIN (VALUES ('alpha'), ('beta'), ('gamma')) m(model)))
+                    GROUP BY model, fold) GROUP BY model) v ON v.model = c.model""",
+    ),
     "hashed": (
         ("accounts",),
         """SELECT account_id, churned, md5(account_id || ':42') AS h FROM accounts""",

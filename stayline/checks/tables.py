@@ -5,32 +5,34 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.checks.registry import check
-from stayline.checks.shared import evaluated, predictions, rival_figures, scores, survey_features, usage_features
+from stayline.checks.shared import comparison, evaluated, predictions, scores, survey_features, usage_features
 from stayline.checks.sql import ACTION, LABEL, RISK, TIER_CODE, TODAY, big, dbl, query, rnd, score_of
 from stayline.functions import scalars as S
 from stayline.operators.profile import null_counts, profile
 from stayline.operators.shapes import upsert
 from stayline.plans import evaluation as E
 from stayline.plans import features as P
+from stayline.session import ensure_checkpoint_dir
 from stayline.sources.schemas import BASE_FEATURES
 from stayline.sources.warehouse import REGIONS, SNAPSHOT
 
 
 # --- sources and sinks -------------------------------------------------------
 
-_FIGURES = 'model, roc_auc, f1, "precision", recall'
+_FIGURES = 'roc_auc, average_precision, f1, "precision", recall, cv_roc_auc_mean, cv_roc_auc_std'
 
 
 @check(
     "a6_metric_upsert",
     query(
-        f"""SELECT {_FIGURES} FROM rival_figures WHERE model = 'alpha'
-        UNION ALL SELECT 'beta', roc_auc, f1, "precision", recall FROM rival_figures WHERE model = 'gamma'
-        UNION ALL SELECT {_FIGURES} FROM rival_figures WHERE model = 'gamma'"""
+        f"""SELECT model, {_FIGURES} FROM comparison WHERE model = 'alpha'
+        UNION ALL SELECT 'beta', {_FIGURES} FROM comparison WHERE model = 'gamma'
+        UNION ALL SELECT model, {_FIGURES} FROM comparison WHERE model = 'gamma'"""
     ),
 )
 def _(w):
-    rows = rival_figures(w).drop("position")
+    ensure_checkpoint_dir(w.spark)
+    rows = comparison(w).checkpoint()
     existing = rows.where("model in ('alpha', 'beta')")
     third = rows.where("model = 'gamma'")
     existing = upsert(existing, third.withColumn("model", F.regexp_replace("model", "gamma", "beta")), "model")
@@ -39,6 +41,13 @@ def _(w):
 
 _NUMERIC = ["mrr", "arr", "seats_licensed", "employee_count", "renewal_months", "churned"]
 _CATEGORICAL = ["account_id", "company_name", "plan_tier", "industry", "region", "csm_assigned", "churn_date"]
+_DATES = ["contract_start_date", "contract_end_date"]
+# The types of the columns as they are stored.
+_TYPES = {
+    "mrr": "decimal(12,2)", "arr": "decimal(14,2)", "seats_licensed": "int", "employee_count": "int", "renewal_months": "int",
+    "churned": "int", "account_id": "bigint", "company_name": "string", "plan_tier": "string", "industry": "string",
+    "region": "string", "csm_assigned": "string", "churn_date": "date", "contract_start_date": "date", "contract_end_date": "date",
+}
 
 
 def _profile_sql() -> str:
@@ -48,22 +57,31 @@ def _profile_sql() -> str:
         NULL AS top_value, {rnd(f"avg({dbl(c)})", 6)} AS mean, {rnd(f"stddev_samp({dbl(c)})", 6)} AS std,
         {dbl(f"min({c})")} AS min, {dbl(f"max({c})")} AS max,
         {rnd(f"quantile_cont({dbl(c)}, 0.25)", 4)} AS q25, {rnd(f"quantile_cont({dbl(c)}, 0.5)", 4)} AS q50,
-        {rnd(f"quantile_cont({dbl(c)}, 0.75)", 4)} AS q75 FROM accounts"""
+        {rnd(f"quantile_cont({dbl(c)}, 0.75)", 4)} AS q75, NULL AS first_date, NULL AS last_date FROM accounts"""
         for c in _NUMERIC
     ] + [
         f"""SELECT '{c}', count({c}), count(DISTINCT {c}),
         (SELECT max(k) FROM (SELECT count({c}) AS k FROM accounts GROUP BY {c})),
         (SELECT CAST({c} AS VARCHAR) FROM accounts WHERE {c} IS NOT NULL GROUP BY {c}
          ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 1),
-        NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM accounts"""
+        NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM accounts"""
         for c in _CATEGORICAL
+    ] + [
+        f"""SELECT '{c}', count({c}), count(DISTINCT {c}),
+        (SELECT max(k) FROM (SELECT count({c}) AS k FROM accounts GROUP BY {c})),
+        NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(min({c}) AS VARCHAR), CAST(max({c}) AS VARCHAR) FROM accounts"""
+        for c in _DATES
     ]
-    return query("SELECT * FROM (" + " UNION ALL ".join(parts) + ")")
+    kinds = ", ".join(f"('{c}', '{t}')" for c, t in _TYPES.items())
+    return query(
+        f"""SELECT p.*, k.data_type, (SELECT count(*) FROM accounts) AS n_rows, {big(str(len(_TYPES)))} AS n_columns
+        FROM ({" UNION ALL ".join(parts)}) p JOIN (VALUES {kinds}) k(name, data_type) ON p.column_name = k.name"""
+    )
 
 
 @check("a7_table_profile", _profile_sql())
 def _(w):
-    table = profile(w.accounts, _NUMERIC, _CATEGORICAL)
+    table = profile(w.accounts, _NUMERIC, _CATEGORICAL, _DATES)
     rounded = {c: S.numpy_round(F.col(c), 6) for c in ("mean", "std")}
     quartiles = {c: S.numpy_round(F.col(c), 4) for c in ("q25", "q50", "q75")}
     return table.withColumns({**rounded, **quartiles})

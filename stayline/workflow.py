@@ -171,6 +171,7 @@ def describe(
             accounts,
             ["mrr", "arr", "seats_licensed", "employee_count", "renewal_months", "churned"],
             ["account_id", "company_name", "plan_tier", "industry", "region", "csm_assigned"],
+            ["contract_start_date", "contract_end_date", "churn_date"],
         ),
         "accounts_nulls": null_counts(accounts),
         "churn_overview": eda.churn_overview(accounts),
