@@ -243,19 +243,20 @@ def filled(opened: list[tuple[list[int], int]], left: np.ndarray) -> list[tuple[
     return found
 
 
-def places(planned: list[tuple[tuple[int, ...], int]], units: int) -> list[np.ndarray]:
-    """Per size, rows (first rank, ranks per sequence, first sequence, offset of the first there), by rank."""
-    rows: list[list] = [[] for _ in range(units + 1)]
-    used = [0] * (units + 1)
+def places(planned: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """The plan by size: (size, first rank, rank behind the last, ranks per sequence, first sequence, offset there)."""
+    rows = []
+    used: dict[int, int] = {}
     sequence = 0
     for way, often in planned:
         for size in sorted(set(way)):
-            many = way.count(size)
-            # Those of one size stand next to each other.
-            rows[size].append((used[size], many, sequence, sum(s for s in way if s > size)))
-            used[size] += many * often
+            many, first = way.count(size), used.get(size, 0)
+            # Those of one size stand next to each other, behind the larger ones.
+            rows.append((size, first, first + many * often, many, sequence, sum(s for s in way if s > size)))
+            used[size] = first + many * often
         sequence += often
-    return [np.array(r, np.int64).reshape(-1, 4) for r in rows]
+    # Full windows are sequences of their own.
+    return [*rows, (0, 0, 1 << 62, 1, sequence, 0)]
 
 
 def pack(cut: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame:
@@ -266,28 +267,15 @@ def pack(cut: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame:
     for size, n in by_block.groupBy("size").agg(F.sum("n")).collect():
         histogram[size] = n
     histogram[0] = 0
-    planned = plan(histogram, step)
-    tables, first_full = places(planned, window), sum(often for _, often in planned)
     # Ranks among all blocks: a table with a row per block and size that occur together.
     before = by_block.select("block", "size", (F.sum("n").over(Window.partitionBy("size").orderBy("block")) - F.col("n")).alias("before"))
     ranked = cut.join(sent_if_few(staged(before)), ["block", "size"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before", "block")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "rank"))
-            sequence, offset = first_full + rank, np.zeros(len(rank), np.int64)
-            for s in np.unique(size[size > 0]):
-                mine = np.flatnonzero(size == s)
-                row = tables[s][np.searchsorted(tables[s][:, 0], rank[mine], "right") - 1]
-                turn = rank[mine] - row[:, 0]
-                sequence[mine] = row[:, 2] + turn // row[:, 1]
-                offset[mine] = row[:, 3] + turn % row[:, 1] * s
-            names = [n for n in batch.schema.names if n not in ("size", "rank")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
-
-    kept = [f for f in ranked.schema if f.name not in ("size", "rank")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    # A few rows per size, whatever the number of documents.
+    table = cut.sparkSession.createDataFrame(places(plan(histogram, step)), "of long, first long, upto long, many long, sequence long, at long")
+    found = ranked.join(F.broadcast(table), (F.col("size") == F.col("of")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("upto")))
+    turn = F.col("rank") - F.col("first")
+    placed = found.withColumns({"sequence_id": F.col("sequence") + F.expr("(rank - first) div many"), "offset": F.col("at") + turn % F.col("many") * F.col("size")})
+    return placed.drop("size", "rank", "of", "first", "upto", "many", "sequence", "at")
 
 
 PLACES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -10,10 +10,13 @@ features, not conditions. The tokens of many texts are one long sequence with an
 is cut into ``STRIDE`` tokens; exact Viterbi runs over all cuts at once, for each tag before a cut, and a
 pass over the cuts joins them. Features: shape, neighbouring words, and figures of the whole text.
 
-It is fitted on the base spans of a bounded sample of documents (``SAMPLE``: the smallest hashes of ids), in
-windows of about ``WINDOW`` tokens: up to ``WINDOWS`` with base spans and as many without, evenly spread; each
-stands for those left out by its weight. Each is fitted twice, once without the words next to its tokens, so
-that shape counts by itself.
+It is fitted in one task on the base spans of a bounded sample of documents (``SAMPLE``, ``SAMPLE_BYTES``: the smallest
+hashes of id and text), in windows of about ``WINDOW`` tokens: up to ``WINDOWS`` with base spans and as many without,
+evenly spread; each stands for those left out by its weight. Each is fitted twice, once without the words next to its
+tokens, so that shape counts by itself. Three things let it find what no pattern names. Tokens outside the base spans
+that look made up are not taken for harmless: the likelihood is summed over all tags that they may have. Windows
+whose base spans hold a made-up value are fitted again with the value alone, in the place of another token, as a secret
+without a name. And most of those are given values of other alphabets and lengths.
 
 Defined results: a null or empty text has no spans. Rows are scored one by one, so repeated rows and ties
 get equal results, null ids are kept, and an empty table gives an empty result. With no base span in the
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -35,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm.common import letters, pick, slices, stretch_hashes, text_bytes
+from stayline.llm.language_id import sampled
 
 # The base patterns. "Letters in either case" means A-Z and a-z only.
 KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
@@ -50,12 +55,18 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "crf")
 
-#: Documents that the field is fitted on at most.
-SAMPLE = 3000
+#: Documents and bytes of text that the field is fitted on at most.
+SAMPLE, SAMPLE_BYTES = 3000, 32 << 20
 #: Size of the hashed feature space, passes over the sample, learning rate, weight of the penalty.
-FEATURES, EPOCHS, RATE, PENALTY = 1 << 14, 60, 0.1, 1e-4
+FEATURES, EPOCHS, RATE, PENALTY = 1 << 14, 60, 0.1, 1e-6
 #: Tokens of a training window, windows of each sort at most, tokens that are decoded between two joins.
 WINDOW, WINDOWS, STRIDE = 32, 1500, 256
+#: Length of a token, and bits per character, from which it may be a secret that no pattern knows.
+MADE_UP_LENGTH, MADE_UP_BITS = 12, 3.0
+#: Windows without names for each window with a made-up value, all but one with values of other kinds; what those are made of.
+VARIANTS = 6
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+OTHER_ALPHABETS = (_UPPER + _LOWER + _DIGITS, _LOWER + _DIGITS, _UPPER + _DIGITS, _UPPER + _LOWER + _DIGITS + "_-", _UPPER + _LOWER + _DIGITS + "+/")
 #: Bytes of text that are tokenized at once; tokens whose features are kept.
 TOGETHER, KNOWN = 1 << 20, 100_000
 
@@ -356,6 +367,36 @@ def marginals(scores: np.ndarray, moves: np.ndarray, weight: np.ndarray) -> tupl
     return tags, pairs, total
 
 
+def bare(numbers: np.ndarray, tags: np.ndarray, free: np.ndarray, looks: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """A window as if the made-up values in its base spans stood there without a name: each begins a secret, has the
+    neighbours of another token of the window, and whatever else the spans hold is left out. None if no span holds such
+    a value."""
+    values = looks & (tags != O)
+    if not values.any():
+        return None
+    kept, others = (tags == O) | values, np.flatnonzero(tags == O)
+    numbers = numbers.copy()
+    numbers[values, PLAIN:] = numbers[rng.choice(others, values.sum()), PLAIN:] if len(others) else FEATURES
+    return numbers[kept], np.where(values, B, O)[kept], free[kept]
+
+
+def other_value(rng: np.random.Generator) -> str:
+    """A made-up value of another alphabet and length: the patterns know few kinds of secrets."""
+    letters_ = OTHER_ALPHABETS[rng.integers(len(OTHER_ALPHABETS))]
+    return "".join(letters_[k] for k in rng.integers(len(letters_), size=rng.integers(MADE_UP_LENGTH, 48)))
+
+
+def made_up(token: str) -> bool:
+    """Long, of at least two kinds of letters and digits that change often, and few characters repeated."""
+    if len(token) < MADE_UP_LENGTH:
+        return False
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" for c in token if c.isalnum()]
+    counts = Counter(token).values()
+    entropy = -sum(c / len(token) * math.log2(c / len(token)) for c in counts)
+    changes = sum(x != y for x, y in zip(kinds, kinds[1:], strict=False))
+    return entropy >= MADE_UP_BITS and len(set(kinds)) > 1 and 4 * changes >= len(token)
+
+
 def labels(chain: Chain, marked: list[list[Span]]) -> np.ndarray:
     """B where a base span begins, I elsewhere under one, O beside them."""
     tags = np.zeros(len(chain), np.int64)
@@ -377,9 +418,9 @@ class _Kept:
     def __init__(self):
         self.rows, self.step, self.seen = [], 1, 0
 
-    def add(self, numbers: np.ndarray, tags: np.ndarray) -> None:
+    def add(self, numbers: np.ndarray, tags: np.ndarray, free: np.ndarray) -> None:
         if self.seen % self.step == 0:
-            self.rows.append((numbers.copy(), tags.copy()))
+            self.rows.append((numbers.copy(), tags.copy(), free.copy()))
             if len(self.rows) > WINDOWS:
                 self.rows, self.step = self.rows[::2], 2 * self.step
         self.seen += 1
@@ -388,54 +429,72 @@ class _Kept:
         return self.seen / max(1, len(self.rows))
 
 
-def training_windows(texts: list[str]) -> tuple[_Kept, _Kept]:
-    """Windows with base spans and windows without. A window ends where no span is cut."""
+def training_windows(texts: list[str], without_kinds: tuple[str, ...] = ()) -> tuple[_Kept, _Kept]:
+    """Windows with base spans and windows without. A window ends where no span is cut. Spans of some kinds may be left
+    out, to see whether the field finds them by itself."""
     with_spans, without, known = _Kept(), _Kept(), Numbers()
+    # The same windows on every run.
+    rng = np.random.default_rng(5)
     group: list[str] = []
     for k, text in enumerate(texts):
         group.append(text)
         if k + 1 < len(texts) and sum(map(len, group)) < TOGETHER:
             continue
         chain = Chain(group)
-        numbers, tags = chain.numbers(known), labels(chain, [base_spans(t) for t in group])
+        numbers, tags = chain.numbers(known), labels(chain, [[x for x in base_spans(t) if x[2] not in without_kinds] for t in group])
+        looks = np.array([made_up(w) for w in chain.words], bool)[chain.which]
+        free = looks & (tags == O)
         for first, end in zip(chain.first[:-1].tolist(), chain.first[1:].tolist(), strict=True):
             while first < end:
                 last = min(first + WINDOW, end)
                 while last < end and tags[last] == I:
                     last += 1
-                (with_spans if tags[first:last].any() else without).add(numbers[first:last], tags[first:last])
+                window = numbers[first:last], tags[first:last], free[first:last]
+                (with_spans if tags[first:last].any() else without).add(*window)
+                for turn in range(VARIANTS):
+                    alone = bare(*window, looks[first:last], rng)
+                    if alone is None:
+                        break
+                    for k in np.flatnonzero(alone[1] == B) if turn else ():
+                        alone[0][k, :10] = known[other_value(rng)][:10]
+                    with_spans.add(*alone)
                 first = last
         group = []
     return with_spans, without
 
 
-def fit(texts: list[str]) -> Field:
-    """Fit on the base spans of the texts: penalised likelihood by Adam, the same on every run."""
-    with_spans, without = training_windows(texts)
+def fit(texts: list[str], without_kinds: tuple[str, ...] = ()) -> Field:
+    """Fit on the base spans of the texts: penalised likelihood by Adam, the same on every run.
+
+    The likelihood is that of the known tags, summed over all tags that made-up tokens beside the base spans may have.
+    """
+    with_spans, without = training_windows(texts, without_kinds)
     if not with_spans.rows:
         return Field.nothing()
-    by_length: dict[int, list] = {}
+    by_length: dict[tuple[int, bool], list] = {}
     for kept in (with_spans, without):
-        for numbers, tags in kept.rows:
-            # Few lengths: the rest of a window are marks that only outside can have.
+        for numbers, tags, free in kept.rows:
+            # Few lengths: the rest of a window are marks that only outside can have. Windows with unknown tags apart.
             length = -(-len(tags) // WINDOW) * WINDOW
-            by_length.setdefault(length, []).append((numbers, tags, kept.weight()))
+            by_length.setdefault((length, bool(free.any())), []).append((numbers, tags, free, kept.weight()))
     groups = []
-    for length, rows in sorted(by_length.items()):
+    for (length, some_free), rows in sorted(by_length.items()):
         ids = np.full((len(rows), length, COLUMNS), FEATURES, np.uint16)
-        tags, real = np.zeros((len(rows), length), np.int64), np.zeros((len(rows), length), bool)
-        for k, (numbers, wanted, _) in enumerate(rows):
-            ids[k, : len(wanted)], tags[k, : len(wanted)], real[k, : len(wanted)] = numbers, wanted, True
-        weight = np.array([w for _, _, w in rows])
-        groups += [(ids[..., :PLAIN][real], tags, real, weight), (ids[real], tags, real, weight)]
-    total = sum(float((real * weight[:, None]).sum()) for _, _, real, weight in groups)
+        tags, real, open_ = np.zeros((len(rows), length), np.int64), *(np.zeros((len(rows), length), bool) for _ in range(2))
+        for k, (numbers, wanted, free, _) in enumerate(rows):
+            ids[k, : len(wanted)], tags[k, : len(wanted)], real[k, : len(wanted)], open_[k, : len(wanted)] = numbers, wanted, True, free
+        weight = np.array([w for *_, w in rows])
+        # What the known tags leave open: nothing, or all tags of the unknown ones.
+        known = np.where(open_[..., None] | np.eye(3, dtype=bool)[tags], 0, LOW) if some_free else None
+        groups += [(ids[..., :PLAIN][real], tags, real, weight, known), (ids[real], tags, real, weight, known)]
+    total = sum(float((real * weight[:, None]).sum()) for _, _, real, weight, _ in groups)
     weights, moves = np.zeros((FEATURES, 3)), np.zeros((3, 3))
     first = [np.zeros_like(weights), np.zeros_like(moves)]
     second = [np.zeros_like(weights), np.zeros_like(moves)]
     for step in range(1, EPOCHS + 1):
         by_weight, by_move = PENALTY * weights * total, np.zeros((3, 3))
         padded = np.concatenate([weights, np.zeros((1, 3))])
-        for ids, tags, real, weight in groups:
+        for ids, tags, real, weight, known in groups:
             flat = np.zeros((len(ids), 3))
             for column in ids.T:
                 flat += padded[column]
@@ -443,15 +502,19 @@ def fit(texts: list[str]) -> Field:
             scores[..., O] = 0
             scores[real] = flat
             got, pairs = marginals(scores, moves + ALLOWED, weight)[:2]
-            gap = ((got - np.eye(3)[tags]) * weight[:, None, None])[real]
+            if known is None:
+                told = np.eye(3)[tags]
+                edge = np.zeros((len(tags), 1), int)
+                path = np.concatenate([edge, tags, edge], 1)
+                steps = np.bincount((3 * path[:, :-1] + path[:, 1:]).ravel(), np.repeat(weight, path.shape[1] - 1), 9).reshape(3, 3)
+            else:
+                told, steps = marginals(scores + known, moves + ALLOWED, weight)[:2]
+            gap = ((got - told) * weight[:, None, None])[real]
             for k in range(3):
                 of = np.ascontiguousarray(gap[:, k])
                 for column in ids.T:
                     by_weight[:, k] += np.bincount(column, of, FEATURES + 1)[:FEATURES]
-            edge = np.zeros((len(tags), 1), int)
-            path = np.concatenate([edge, tags, edge], 1)
-            steps = np.bincount((3 * path[:, :-1] + path[:, 1:]).ravel(), np.repeat(weight, path.shape[1] - 1), 9)
-            by_move += pairs - steps.reshape(3, 3)
+            by_move += pairs - steps
         for value, slope, m, v in ((weights, by_weight, first[0], second[0]), (moves, by_move, first[1], second[1])):
             slope = slope / total
             m += 0.1 * (slope - m)
@@ -460,14 +523,17 @@ def fit(texts: list[str]) -> Field:
     return Field(weights, moves)
 
 
-def sample_texts(docs: DataFrame, size: int = SAMPLE) -> list[str]:
-    """Texts of the documents with the smallest hashes of their ids: a bounded, fixed sample."""
-    hashed = docs.select("doc_id", F.xxhash64("doc_id").alias("h"))
-    last = hashed.orderBy("h").limit(size).agg(F.max("h")).first()[0]
-    if last is None:
-        return []
-    rows = docs.filter(F.xxhash64("doc_id") <= last).filter("text is not null").select("text").limit(size)
-    return sorted(r[0] for r in rows.collect())
+def learn(docs: DataFrame, size: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Field:
+    """Fit on doc_id and text: a bounded number of documents and bytes, those with the smallest hashes of id and text."""
+    sample = sampled(docs.select("doc_id", "text", F.lit("").alias("lang")), size, most_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = fit(sorted(t for batch in batches for t in batch.column("text").to_pylist()))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((field.weights, field.moves))], pa.binary())], ["field"])
+
+    # The sample is bounded, so one task fits the field; the driver holds nothing but its weights.
+    found = sample.select("text").repartition(1).mapInArrow(run, "field binary").collect()
+    return Field(*pickle.loads(bytes(found[0][0]))) if found else Field.nothing()
 
 
 def _has_long_hex(column: pa.Array) -> np.ndarray:
@@ -486,7 +552,7 @@ def _has_long_hex(column: pa.Array) -> np.ndarray:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
     """One row per document: doc_id and spans, an array of (start, end, kind, value)."""
     source = pick(docs, doc_id=id_col, text=text_col)
-    model = field or fit(sample_texts(source))
+    model = field or learn(source)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.moves))
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("value", pa.string())])
 
