@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,8 +53,8 @@ class Rule:
         return -(-self.percent * (n + m) // (100 + self.percent))
 
 
-#: Counters of the sketch, in bits; parts in which it is added up.
-SKETCH_BITS, SKETCH_PARTS = 22, 64
+#: Counters of the sketch, in bits; parts in which it is added up; tasks whose counters are added up first.
+SKETCH_BITS, SKETCH_PARTS, SKETCH_TEAM = 22, 64, 32
 #: Largest k; cost of verifying a pair against that of an entry.
 MOST, VERIFY = 3, 20.0
 #: Longs of the parity bitmap.
@@ -146,17 +147,21 @@ def sketch(docs: DataFrame, rule: Rule) -> Sketch:
         for batch in slices(batches, limit=1 << 20):
             all_ = np.concatenate([np.zeros(0, np.uint64), *shingles_of(batch.column("text").to_pylist(), rule.shingle)])
             np.add.at(counts, (all_ >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        packed = [zlib.compress(counts[i * size : (i + 1) * size].tobytes(), 1) for i in range(SKETCH_PARTS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(packed, pa.binary())], ["part", "counts"])
+        packed = [zlib.compress(counts[i * size : (i + 1) * size].astype(np.uint64).tobytes(), 1) for i in range(SKETCH_PARTS)]
+        team = TaskContext.get().partitionId() // SKETCH_TEAM
+        yield pa.RecordBatch.from_pydict({"part": np.arange(SKETCH_PARTS), "team": np.full(SKETCH_PARTS, team), "counts": packed})
 
     def add(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.uint64)
         for batch in parts:
             for blob in batch.column("counts"):
-                total += np.frombuffer(zlib.decompress(blob.as_py()), np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["part", "counts"])
+                total += np.frombuffer(zlib.decompress(blob.as_py()), np.uint64)
+        yield pa.RecordBatch.from_pydict({"part": [key[0].as_py()], "team": [0], "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    counted = docs.select("text").mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(add, "part int, counts binary")
+    # First within teams of tasks, then the teams: no task gets the tables of all tasks.
+    schema = "part long, team long, counts binary"
+    teams = docs.select("text").mapInArrow(count, schema).groupBy("part", "team").applyInArrow(add, schema)
+    counted = teams.groupBy("part").applyInArrow(add, schema).select("part", "counts")
     found = np.zeros(1 << SKETCH_BITS, np.uint64)
     for part, blob in counted.collect():
         found[part * size : (part + 1) * size] = np.frombuffer(zlib.decompress(blob), np.uint64)
