@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +42,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="stayline-checkpoint-")
     context.setCheckpointDir(folder)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own, beside the session's, for the checkpoints of a job; it is deleted when the job ends.
+
+    Tables that are read after that must have been written elsewhere.
+    """
+    ensure_checkpoint_dir(spark)
+    context = spark.sparkContext
+    base = context.getCheckpointDir().rstrip("/").rsplit("/", 1)[0]
+    folder = f"{base}/job-{uuid.uuid4().hex}"
+    context.setCheckpointDir(folder)
+    try:
+        yield folder
+    finally:
+        context.setCheckpointDir(base)
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def leaves_results_only(job: Callable) -> Callable:
+    """Run a job, whose first argument is the session, with ``intermediates``."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with intermediates(spark):
+            return job(spark, *args, **kwargs)
+
+    return run

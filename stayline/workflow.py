@@ -5,7 +5,8 @@
     python -m stayline act   --raw RAW --out OUT
     python -m stayline describe --raw RAW --out OUT
 
-Jobs hand over through tables under OUT, so each can be run again by itself.
+Jobs hand over through tables under OUT, so each can be run again by itself. What a job checkpoints on the way is
+deleted when it ends.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from stayline.operators.profile import null_counts, profile
 from stayline.operators.shapes import best_row
 from stayline.plans import eda, evaluation, modeling, scoring
 from stayline.plans.features import build_features
+from stayline.session import leaves_results_only
 from stayline.sources.metric_store import read_metrics, upsert_metrics
 from stayline.sources.schemas import ACCOUNTS, REGIONS, feature_names, features_schema
 from stayline.sources.tables import read_raw, read_table, write_table
@@ -30,6 +32,7 @@ LOGISTIC, FOREST, BOOSTED = "Logistic Regression", "Random Forest", "Boosted Tre
 MODELS = (LOGISTIC, FOREST, BOOSTED)
 
 
+@leaves_results_only
 def build(
     spark: SparkSession,
     raw: str,
@@ -58,6 +61,7 @@ def read_features(spark: SparkSession, out: str, regions: Sequence[str] = REGION
     return read_table(spark, f"{out}/churn_features", features_schema(regions), "parquet")
 
 
+@leaves_results_only
 def train(
     spark: SparkSession,
     out: str,
@@ -128,6 +132,7 @@ def winner(comparison: DataFrame) -> DataFrame:
     return best_row(comparison.withColumn("position", place), "f1", "position", "model")
 
 
+@leaves_results_only
 def act(
     spark: SparkSession,
     raw: str,
@@ -159,6 +164,7 @@ def act(
     return {"scores": scores, **{n: spark.read.parquet(f"{out}/{n}") for n in tables}}
 
 
+@leaves_results_only
 def describe(
     spark: SparkSession, raw: str, out: str, format: str = "csv", quarters: Sequence[str] | None = None
 ) -> None:

@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import random
 from decimal import Decimal
 
@@ -6,6 +7,7 @@ import pytest
 
 import micro
 from stayline import workflow
+from stayline.session import ensure_checkpoint_dir, leaves_results_only
 from stayline.sources.tables import write_table
 
 
@@ -79,3 +81,21 @@ def test_describe(spark, folders):
     rate = spark.read.parquet(f"{out}/eda/churn_overview").collect()
     assert {r["churn_label"]: r["accounts"] for r in rate} == {"Active": 96, "Churned": 24}
     assert spark.read.parquet(f"{out}/eda/accounts_nulls").first().asDict() == {"column_name": "churn_date", "n_null": 96}
+
+
+def test_checkpoints_live_as_long_as_their_job(spark):
+    ensure_checkpoint_dir(spark)
+    outside = spark.range(5).checkpoint()
+    base = spark.sparkContext.getCheckpointDir().rsplit("/", 1)[0].removeprefix("file:")
+    seen = []
+
+    @leaves_results_only
+    def job(session):
+        session.range(9).checkpoint()
+        seen.extend(glob.glob(f"{base}/job-*/**/part-*", recursive=True))
+        raise RuntimeError("half-way")
+
+    with pytest.raises(RuntimeError, match="half-way"):
+        job(spark)
+    assert seen and not glob.glob(f"{base}/job-*")
+    assert outside.count() == 5 and spark.range(3).checkpoint().count() == 3
