@@ -264,8 +264,9 @@ def removals(rows: DataFrame, length: int = LENGTH, shard_stretches: int = SHARD
         }
         return pa.table(columns)
 
-    # A shard is few bytes and much work, so tasks are dealt by number: by size, Spark would put many into one.
-    needed = dealt.select("k1", "k2", "lo", "bytes", "parts", "shard").repartition(2 * shards, "shard")
+    # A shard is few bytes and much work, so tasks are dealt by number (eight shards each): by size, Spark would put many
+    # into one.
+    needed = dealt.select("k1", "k2", "lo", "bytes", "parts", "shard").repartition(max(8, shards // 8), "shard")
     sorted_ = staged(needed.groupBy("shard").applyInArrow(sort, schema))
     known = sorted_.filter("h1 is null").select("k1", "k2", "start", "end")
     spoken = sorted_.filter("h1 is not null")
