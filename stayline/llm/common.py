@@ -69,8 +69,8 @@ def apart(summary: DataFrame) -> DataFrame:
     return summary.repartition(int(summary.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-#: Rows of a list that are sent to all tasks at most (a few dozen bytes each).
-SENT_ROWS = 4 << 20
+#: Rows of a list that are sent to all tasks at most (some hundred bytes each).
+SENT_ROWS = 1 << 20
 
 
 def sent_if_few(table: DataFrame, most: int = SENT_ROWS) -> DataFrame:
