@@ -15,7 +15,7 @@ def rows(spark):
     i = F.col("id")
     noise = [((i * (37 + 12 * k)) % (101 + k)).cast("double") for k in range(5)]
     y = ((i * 7919 % 1000 < 200) != (noise[0] > 90)).cast("int")
-    table = spark.range(1500).select(F.format_string("A%04d", i).alias("account_id"), y.alias("churned"), array_to_vector(F.array(*noise)).alias("features"))
+    table = spark.range(900).select(F.format_string("A%04d", i).alias("account_id"), y.alias("churned"), array_to_vector(F.array(*noise)).alias("features"))
     return table.withColumn("weight", F.lit(0.5) + F.col("churned") * 2).repartition(3).checkpoint()
 
 
@@ -23,22 +23,24 @@ def scored(model, rows):
     return {r.account_id: r.churn_proba for r in M.predict(model, rows).select("account_id", "churn_proba").collect()}
 
 
-SHAPES = [{"maxDepth": 30}, {"maxDepth": 4}, {"maxDepth": 9, "minInstancesPerNode": 5}]
+SHAPES = [{"maxDepth": 30}, {"maxDepth": 4, "minInstancesPerNode": 5}]
 
 
 @pytest.mark.parametrize("shape", SHAPES)
 def test_parts_change_nothing(rows, monkeypatch, shape):
-    whole = M.forest(numTrees=6, **shape).fit(rows)
+    whole = M.forest(numTrees=3, **shape).fit(rows)
     monkeypatch.setattr(forests, "PART_ROWS", 200)
     monkeypatch.setattr(forests, "PAIRS", 4000)
-    cut = M.forest(numTrees=6, **shape).fit(rows)
+    cut = M.forest(numTrees=3, **shape).fit(rows)
     assert all(len(top.nodes) == 1 for top in whole.tops.values()) and all(len(top.nodes) > 3 for top in cut.tops.values())
     assert scored(cut, rows) == pytest.approx(scored(whole, rows), abs=1e-12)
+    if shape["maxDepth"] > 4:
+        assert max(t.depth for t in cut.trees) > 8
     assert cut.featureImportances.toArray() == pytest.approx(whole.featureImportances.toArray(), abs=1e-12)
     assert [t.depth for t in cut.trees] == [t.depth for t in whole.trees]
     nodes = Trees.node_table(cut).checkpoint()
     assert nodes.count() == Trees.node_table(whole).count()
-    reached = Trees.leaves(rows, nodes, 6, Trees.depth_of(nodes), "account_id", vector_to_array("features"))
+    reached = Trees.leaves(rows, nodes, 3, Trees.depth_of(nodes), "account_id", vector_to_array("features"))
     assert {r.account_id: r.p for r in Trees.votes(reached, "account_id").collect()} == pytest.approx(scored(cut, rows), abs=1e-12)
 
 
@@ -46,7 +48,7 @@ def test_a_tree_is_grown_to_the_end(rows):
     """Rows in a leaf of an unlimited tree can't be split further, unless its children said the same."""
     nodes = Trees.node_table(M.forest(numTrees=4, maxDepth=30).fit(rows)).toPandas()
     leaves = nodes[nodes.left.isna()]
-    assert (nodes[nodes.node == 0].rows.sub(1500).abs() < 200).all()
+    assert (nodes[nodes.node == 0].rows.sub(900).abs() < 150).all()
     assert leaves.groupby("tree").rows.sum().tolist() == nodes[nodes.node == 0].sort_values("tree").rows.tolist()
     assert leaves.positive.isin([0, 1]).mean() > 0.5 and nodes.gain.dropna().gt(0).all()
 
@@ -69,5 +71,13 @@ def test_rows_that_repeat_and_equal_features(spark, rows):
     same = rows.withColumn("features", array_to_vector(F.array(F.lit(1.0), F.lit(2.0))))
     model = M.forest(numTrees=3, maxDepth=5).fit(same)
     assert [t.depth for t in model.trees] == [0, 0, 0] and not np.any(model.featureImportances.toArray())
-    assert M.predict(model, same.unionByName(same)).count() == 3000
+    assert M.predict(model, same.unionByName(same)).count() == 1800
     assert M.predict(model, same.limit(0)).count() == 0
+
+
+def test_grid_of_trees_shares_fits(rows, monkeypatch):
+    fits, whole = [], forests.fit_forest
+    monkeypatch.setattr(forests, "fit_forest", lambda e, df: fits.append(e.getNumTrees()) or whole(e, df))
+    folded = rows.withColumn("fold", (F.crc32("account_id") % 2).cast("int"))
+    tuned = M.grid_search(M.forest(), {"numTrees": [1, 3], "maxDepth": [3]}, folded)
+    assert tuned.trials.count() == 2 and fits == [3, 3, tuned.best["numTrees"]]
