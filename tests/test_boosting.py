@@ -58,6 +58,17 @@ def test_jobs_do_not_grow_with_rounds(spark, rows):
     assert jobs(12) == jobs(2) > 0
 
 
+def test_jobs_do_not_grow_with_rounds_above_a_task_of_rows(spark, rows, monkeypatch):
+    """72,000 rows used to be dealt over two tasks, with a job per level of each tree."""
+    monkeypatch.setattr(Trees, "ROWS_PER_TASK", 900)
+    test_jobs_do_not_grow_with_rounds(spark, rows)
+
+
+def test_tasks_of_a_fit_run_at_once():
+    assert [boosting._tasks(n, 12) for n in (72_000, 125_000, 125_001, 720_000, 7_200_000)] == [1, 1, 3, 12, 12]
+    assert boosting._tasks(720_000, 1) == 2
+
+
 def test_equal_features_and_one_class(rows):
     same = rows.withColumn("features", array_to_vector(F.array(F.lit(1.0), F.lit(2.0))))
     assert [t.depth for t in M.boosted(maxIter=2, maxDepth=3).fit(same).trees] == [0, 0]
