@@ -144,8 +144,10 @@ def _account_sums(facts: DataFrame, value: str, keys: Sequence[str] = ()) -> Dat
 
 
 def logins_by_month(usage: DataFrame, accounts: DataFrame) -> DataFrame:
-    sums = _account_sums(usage, "logins", ["month"])
-    means = _label_means(sums, accounts, ["month", "churn_label"])
+    # A row per account and month would be grouped into as many groups, held twice per task; rows of an account that owns
+    # many are split by the join.
+    rows = usage.select("account_id", "month", F.col("logins").alias("total"), F.col("logins").isNotNull().cast("int").alias("n"))
+    means = _label_means(rows, accounts, ["month", "churn_label"])
     return means.withColumnRenamed("mean_value", "avg_logins")
 
 

@@ -56,6 +56,14 @@ def test_means_are_row_weighted_or_account_weighted(spark, accounts):
     assert means == {"Active": 8.0}
 
 
+def test_logins_by_month_groups_by_month_and_label_only(spark, accounts):
+    """A second grouping by account and month held all its groups twice in the memory of a task."""
+    usage = micro.usage(spark, [("b", "2024-06-01", 10), ("b", "2024-06-01", None), ("c", "2024-06-01", 2), ("c", "2024-07-01", None)])
+    means = eda.logins_by_month(usage, accounts)
+    assert means._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+    assert {(str(r["month"]), r["churn_label"]): r["avg_logins"] for r in means.collect()} == {("2024-06-01", "Active"): 6.0, ("2024-07-01", "Active"): None}
+
+
 def test_priority_mix_sums_to_one_hundred(spark, accounts):
     tickets = micro.tickets(
         spark, [("a", "2024-06-01", p, 1, None) for p in ("low", "low", "critical", "high")]
