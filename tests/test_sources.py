@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import micro
 from stayline.plans.features import build_features
-from stayline.sources import metric_store, schemas
+from stayline.sources import metric_store, schemas, warehouse
 from stayline.sources.tables import read_raw, read_table, write_table
 
 
@@ -106,3 +106,20 @@ def test_writers_at_the_same_time_lose_nothing(spark, tmp_path, monkeypatch):
         metric_store.upsert_metrics(spark, folder, _row(spark, "A", 0.3))
     got = {(r["model"], r["f1"]) for r in metric_store.read_metrics(spark, folder).collect()}
     assert got == {("A", 0.3), *((name, 0.5) for name in "BCDE")}
+
+
+def test_tasks_of_the_join_of_lines_and_orders_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    i = F.col("id")
+    lines = spark.range(300).select((i % 60).alias("l_orderkey"), F.lit(2.0).alias("l_quantity"), F.timestamp_seconds(800_000_000 + i * 86_400).cast("timestamp_ntz").alias("l_shipdate"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(60).select(i.alias("o_orderkey"), (i % 7).alias("o_custkey")).write.parquet(f"{tmp_path}/orders.parquet")
+
+    def usage():
+        return warehouse.Warehouse(spark, str(tmp_path)).usage.select("account_id", "month", "logins")
+
+    few = usage()
+    monkeypatch.setattr(warehouse, "LINES_PER_TASK", 3)
+    many = usage()
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan(few) and plan(many).count("REPARTITION_BY_NUM") == 2
+    assert sorted(few.collect()) == sorted(many.collect()) and sum(r.logins for r in many.collect()) == 600
