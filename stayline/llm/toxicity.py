@@ -194,6 +194,45 @@ class Network:
         return _sigmoid(np.maximum.reduceat(logits, starts).astype(np.float64))
 
 
+def portions(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Stretches of a list, of 300 texts at most that together have ``limit`` characters, or of one longer text."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > start and (i - start == 300 or size + len(text or "") > limit):
+            yield start, i
+            start, size = i, 0
+        size += len(text or "")
+    if texts:
+        yield start, len(texts)
+
+
+class Spelled:
+    """The distinct words of many texts, by hash, each spelled once; and for each word of each text its number among them."""
+
+    def __init__(self, texts: list[str | None]):
+        every, sizes, distinct, code = [], [], [], []
+        known = np.zeros(0, np.uint64)
+        for start, end in portions(texts):
+            words = Words([t.lower() if t else "" for t in texts[start:end]], LETTERS)
+            every.append(words.hashes())
+            sizes.append(np.diff(words.first))
+            found, at = np.unique(every[-1], return_index=True)
+            new = ~np.isin(found, known)
+            known = np.union1d(known, found)
+            distinct.append(found[new])
+            code.append(gathered(words.code, words.starts[at[new]], words.ends[at[new]], BEFORE, AFTER))
+        self.code = np.concatenate([c for c, _ in code])
+        marked = np.concatenate([n for _, n in code])
+        order = np.argsort(np.concatenate(distinct))
+        begins = np.cumsum(marked) - marked
+        self.starts, self.ends = (begins + 1)[order], (begins + marked - 1)[order]
+        self.hashes = known
+        self.number = np.concatenate([np.searchsorted(known, x).astype(np.int32) for x in every])
+        self.sizes = np.concatenate(sizes)
+        #: Which words belong to text k: first[k] to first[k + 1].
+        self.first = np.concatenate([[0], np.cumsum(self.sizes)])
+
+
 def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed: int = 11) -> Network:
     """Train on labelled texts; the same rows in the same order give the same network."""
     rng = np.random.default_rng(seed)
@@ -204,29 +243,29 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed:
         net.w["out"][:] = 0
         net.w["level"][:] = -30 if share == 0 else 30
         return net
-    words = Words([t.lower() if t else "" for t in texts], LETTERS)
-    hashes = words.hashes()
+    words = Spelled(texts)
     # In how many texts each word occurs, and in how many toxic ones.
-    owner = np.repeat(np.arange(len(y)), np.diff(words.first))
-    once = np.unique(np.stack([hashes, owner.astype(np.uint64)], 1), axis=0)
-    distinct, number = np.unique(once[:, 0], return_inverse=True)
-    seen, toxic = np.bincount(number), np.bincount(number, y[once[:, 1].astype(np.int64)])
+    seen, toxic = np.zeros(len(words.hashes), np.int64), np.zeros(len(words.hashes))
+    for start, end in portions(texts):
+        owner = np.repeat(np.arange(end - start), words.sizes[start:end])
+        word, owner = np.divmod(np.unique(words.number[words.first[start] : words.first[end]] * np.int64(end - start) + owner), end - start)
+        seen += np.bincount(word, minlength=len(seen))
+        toxic += np.bincount(word, y[start + owner], minlength=len(toxic))
     kept = np.flatnonzero(seen >= 3)
     kept = np.sort(kept[np.argsort(-seen[kept], kind="stable")][:VOCABULARY])
     odds = np.log((toxic + share) / (seen - toxic + 1 - share) * (1 - share) / share)[kept]
-    net = Network.fresh(distinct[kept], np.clip(odds, -3, 3).astype(np.float32), rng)
-    known = lookup(net.vocabulary, hashes) + 1
-    sizes_of = np.diff(words.first)
+    net = Network.fresh(words.hashes[kept], np.clip(odds, -3, 3).astype(np.float32), rng)
+    known = lookup(net.vocabulary, words.hashes) + 1
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
     step = 0
     epochs = max(epochs, -(-STEPS // -(-len(y) // BATCH)))
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     for epoch in range(epochs):
-        chunks = [net.logits(texts[i : i + 300]) for i in range(0, len(texts), 300)]
-        logits = np.concatenate([x[0] for x in chunks])
-        owners = np.concatenate([x[1] + 300 * i for i, x in enumerate(chunks)])
-        begins = np.concatenate([x[2] for x in chunks])
+        chunks = [(start, *net.logits(texts[start:end])) for start, end in portions(texts)]
+        logits = np.concatenate([x[1] for x in chunks])
+        owners = np.concatenate([x[2] + x[0] for x in chunks])
+        begins = np.concatenate([x[3] for x in chunks])
         # The worst window of each text.
         of_text = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
         worst = [int(part.argmax()) + s for part, s in zip(np.split(logits, of_text[1:]), of_text, strict=True)]
@@ -234,14 +273,13 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed:
         for i in range(0, len(order), BATCH):
             rows = order[i : i + BATCH]
             at = begins[[worst[r] for r in rows]] + np.arange(WINDOW)[:, None]
-            inside = at < sizes_of[rows]
+            inside = at < words.sizes[rows]
             if not inside.any():
                 continue
             at = (words.first[rows] + at)[inside]
-            _, first_at, place_of = np.unique(hashes[at], return_index=True, return_inverse=True)
+            at, place_of = np.unique(words.number[at], return_inverse=True)
             ids = np.zeros(inside.shape, np.int64)
             ids[inside] = place_of + 1
-            at = at[first_at]
             # Now and then a word is read by its letters alone.
             known_ids = known[at] * (rng.random(len(at)) > 0.15)
             entered, vectors, flat, sizes = net.entered(words.code, words.starts[at], words.ends[at], known_ids)

@@ -1,11 +1,12 @@
 """What models learn from is bounded, also where ids are null or repeated; and the toxicity stage keeps clean rows."""
 
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 
-from stayline.llm import language_id, toxicity
+from stayline.llm import common, language_id, toxicity
 
 WORDS = {"aa": ["alor", "belim", "carup", "dosen"], "bb": ["xik", "yopp", "zwen", "quat"]}
 
@@ -83,3 +84,41 @@ def test_keep_clean(spark):
     assert all(x in left for x in odd)
     assert sum(i is not None and i < 1000 for i, _ in left) >= 119 and sum(i is not None and 1000 <= i < 2000 for i, _ in left) <= 3
     assert toxicity.keep_clean(docs.limit(0), labels).collect() == []
+
+
+def test_toxicity_is_fitted_in_little_memory(monkeypatch):
+    rng = random.Random(5)
+    known = [f"word{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(known, k=15_000)) + (" vile" if i % 2 else "") for i in range(80)]
+    assert sum(map(len, texts)) > 9e6
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    monkeypatch.setattr(common, "BASES", tuple(common.Powers(x.base) for x in common.BASES))
+    tracemalloc.start()
+    try:
+        net = toxicity.fit(texts, [i % 2 for i in range(80)], epochs=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(net.vocabulary) == 3001
+    # Numbers of words take 5 MB here; sums over all the code points took more than 500.
+    assert peak < 100e6
+    assert sum(x.up.nbytes + x.down.nbytes for x in common.BASES) < 40 * common.HASHED
+
+
+def test_words_are_hashed_alike_in_blocks(monkeypatch):
+    texts = ["", "a", "bb \t ccc", "d" * 40, " e ", "ff gg hh ii jj kk", "\n\nbb"]
+    for which in (0, 1):
+        words = common.Words(texts, common.NOT_SPACE)
+        whole = common.stretch_hashes(words.code, words.starts, words.ends, which)
+        for size in (1, 5, 1000):
+            monkeypatch.setattr(common, "HASHED", size)
+            assert words.hashes(which).tolist() == whole.tolist()
+
+
+def test_spelled_words_are_those_of_the_texts():
+    texts = ["One two one", None, "", "two three", "x " * 700_000, "three four", "..."]
+    words = toxicity.Spelled(texts)
+    spelled = ["".join(map(chr, words.code[s:e])) for s, e in zip(words.starts, words.ends, strict=True)]
+    got = [[spelled[n] for n in words.number[s:e]] for s, e in zip(words.first, words.first[1:])]
+    assert got == [(t or "").lower().replace(".", "").split() for t in texts]
+    assert list(toxicity.portions(["ab"] * 5, 4)) == [(0, 2), (2, 4), (4, 5)] and list(toxicity.portions([])) == []
