@@ -81,3 +81,19 @@ def test_grid_of_trees_shares_fits(rows, monkeypatch):
     folded = rows.withColumn("fold", (F.crc32("account_id") % 2).cast("int"))
     tuned = M.grid_search(M.forest(), {"numTrees": [1, 3], "maxDepth": [3]}, folded)
     assert tuned.trials.count() == 2 and fits == [3, 3, tuned.best["numTrees"]]
+
+
+def test_rows_are_sent_to_tasks_not_from_level_to_level(rows, monkeypatch):
+    """Each level of all trees used to be a join over (tree, node) that moved all rows with all their values."""
+    monkeypatch.setattr(Trees, "HELD_NODES", 50)
+    model = M.forest(numTrees=6, maxDepth=20).fit(rows)
+    two = rows.where("account_id in ('A0000', 'A0001')")
+    odd = rows.union(two.select(F.nullif("account_id", F.lit("A0000")), "churned", F.when(F.lit(False), F.col("features")), "weight"))
+    nodes = Trees.node_table(model).checkpoint()
+    found = Trees.leaves(odd, nodes, 6, Trees.depth_of(nodes), "account_id", F.when(F.col("features").isNotNull(), vector_to_array(F.coalesce("features", array_to_vector(F.array(F.lit(0.0)))))))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert found.count() == 6 * 902 and found.where("account_id is null").count() == 6
+    usual = found.groupBy("account_id").agg(F.count("*").alias("n"), F.avg("positive").alias("p")).where("n = 6 and account_id is not null")
+    scores = scored(model, rows)
+    assert {r.account_id: r.p for r in usual.collect()} == pytest.approx({k: v for k, v in scores.items() if k != "A0001"}, abs=1e-12)
