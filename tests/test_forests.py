@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from stayline.plans import forests
+from stayline.plans import binned, forests
 from stayline.plans import modeling as M
 from stayline.plans import trees as Trees
 
@@ -97,3 +97,27 @@ def test_rows_are_sent_to_tasks_not_from_level_to_level(rows, monkeypatch):
     usual = found.groupBy("account_id").agg(F.count("*").alias("n"), F.avg("positive").alias("p")).where("n = 6 and account_id is not null")
     scores = scored(model, rows)
     assert {r.account_id: r.p for r in usual.collect()} == pytest.approx({k: v for k, v in scores.items() if k != "A0001"}, abs=1e-12)
+
+
+@pytest.mark.parametrize("part_rows", [1 << 17, 100])
+def test_first_levels_are_a_fit_of_less_depth(rows, monkeypatch, part_rows):
+    monkeypatch.setattr(forests, "PART_ROWS", part_rows)
+    deep = M.forest(numTrees=3, maxDepth=30).fit(rows)
+    for depth in (2, 7):
+        flat, cut = M.forest(numTrees=3, maxDepth=depth).fit(rows), deep.first_levels(depth)
+        assert scored(cut, rows) == scored(flat, rows) and [t.depth for t in cut.trees] == [t.depth for t in flat.trees]
+        assert cut.featureImportances.toArray() == pytest.approx(flat.featureImportances.toArray(), abs=1e-12)
+        assert Trees.node_table(cut).count() == Trees.node_table(flat).count()
+
+
+def test_grid_of_depths_shares_fits_and_bins(rows, monkeypatch):
+    """Each depth used to be a fit of its own, and each fit binned its rows anew."""
+    fits, bins, whole, cut = [], [], forests.fit_forest, binned.cut_points
+    monkeypatch.setattr(forests, "fit_forest", lambda e, df: fits.append((e.getNumTrees(), e.getMaxDepth())) or whole(e, df))
+    monkeypatch.setattr(binned, "cut_points", lambda *a: bins.append(a) or cut(*a))
+    folded = rows.withColumn("fold", (F.crc32("account_id") % 2).cast("int"))
+    grid = {"numTrees": [2, 3], "maxDepth": [9, 3], "minInstancesPerNode": [1, 5]}
+    tuned = M.grid_search(M.forest(), grid, folded)
+    assert fits[:-1] == [(3, 9)] * 4 and len(bins) == 3
+    one = M.grid_search(M.forest(), {k: [v[-1]] for k, v in grid.items()}, folded)
+    assert one.trials.first().cv_roc_auc == tuned.trials.orderBy("trial").collect()[-1].cv_roc_auc
