@@ -64,6 +64,22 @@ def test_jobs_do_not_grow_with_rounds_above_a_task_of_rows(spark, rows, monkeypa
     test_jobs_do_not_grow_with_rounds(spark, rows)
 
 
+def test_a_level_per_job_changes_nothing(rows, monkeypatch):
+    whole = M.boosted(subsamplingRate=0.8, minInstancesPerNode=3, **SHAPE).fit(rows)
+    monkeypatch.setattr(boosting, "ALONE_ROWS", 0)
+    monkeypatch.setattr(boosting, "_PASS", 100)
+    monkeypatch.setattr(boosting, "_CELLS", 64)
+    test_tasks_change_nothing(rows, monkeypatch)
+    dealt = M.boosted(subsamplingRate=0.8, minInstancesPerNode=3, **SHAPE).fit(rows)
+    assert Trees.node_table(dealt).orderBy("tree", "node").collect() == Trees.node_table(whole).orderBy("tree", "node").collect()
+
+
+def test_fits_of_a_large_table_are_one_job_each(spark, rows, monkeypatch):
+    """720,000 rows used to be dealt over all cores, with a job per level of each tree, also where five fits run side by side."""
+    monkeypatch.setattr(Trees, "ROWS_PER_TASK", 2)
+    test_jobs_do_not_grow_with_rounds(spark, rows)
+
+
 def test_tasks_of_a_fit_run_at_once():
     assert [boosting._tasks(n, 12) for n in (72_000, 125_000, 125_001, 720_000, 7_200_000)] == [1, 1, 3, 12, 12]
     assert boosting._tasks(720_000, 1) == 2
